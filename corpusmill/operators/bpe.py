@@ -1,25 +1,40 @@
 """Learning a byte-pair vocabulary from word counts.
 
 Each symbol is one character whose code stands for its id, so a word is a short
-string and a merge is a string replacement, all of it inside Spark. Only the few
-best pairs of a round come to the driver.
+string and a merge is a string replacement, all of it inside Spark.
+
+One Spark job settles many merges. The driver guesses the next ones from the exact
+pair counts and the most frequent words; the job replays them on all words and
+returns how each step changes the pair counts; the driver then keeps the guesses
+that the exact counts confirm. A wrong guess costs time, never a wrong merge.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import heapq
+import json
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.operators.tokens import Vocabulary, pretoken_counts
 from corpusmill.plans.staging import stage
 from corpusmill.schemas import DEFAULT_SPECIAL_TOKENS
 
-_PAIRS_PER_ROUND = 64
+# Merges guessed per job, words the guesses are made on, pairs the driver keeps.
+_GUESSES = 32
+_GUESS_WORDS = 50_000
+_KEPT_PAIRS = 200_000
 # Replacements after which the rewritten words are written out again.
 _REPLACEMENTS_KEPT = 24
 _FIRST_CODE = 0x20
 _SURROGATES = 0xD800
 
+Merge = tuple[int, int, int]
+
 
 def train_bpe(
     df: DataFrame,
@@ -48,20 +63,44 @@ def train_bpe_from_counts(
     number = {token: i for i, token in enumerate(tokens)}
     coded = "".join(_code(number[c]) for c in alphabet)
     first = F.translate(F.col("word"), "".join(alphabet), coded) if alphabet else F.col("word")
-    base = stage(counts.select(first.alias("w"), "n").where(F.char_length("w") > 1), "words")
-    merges: list[tuple[int, int, int]] = []
-    pending: list[tuple[int, int, int]] = []
+    base = _stage_words(counts.select(first.alias("w"), "n"))
+    frequent = base.orderBy(F.desc("n"), "w").limit(_GUESS_WORDS).collect()
+    sample = _Sample([row["w"] for row in frequent], [row["n"] for row in frequent])
+    merges: list[Merge] = []
+    pending: list[Merge] = []
+    ranking, fresh = _count_pairs(base, pending), True
     while len(tokens) < vocab_size:
+        guesses = _guess(ranking, sample, tokens, number, vocab_size, min_frequency)
+        if not guesses:
+            break
+        changes = _replay(base, pending, guesses)
+        settled = 0
+        for merge, change in zip(guesses, changes):
+            pair, n = ranking.best()
+            # Pairs that were not kept may be as frequent as the least frequent kept one.
+            uncertain = n <= ranking.floor and not fresh
+            if uncertain or pair != _code(merge[0]) + _code(merge[1]) or n < max(min_frequency, 1):
+                break
+            left, right, new = merge
+            token = tokens[left] + tokens[right]
+            reused = token in number
+            if not reused:
+                number[token] = len(tokens)
+                tokens.append(token)
+            settled += 1
+            fresh = False
+            ranking.change(change)
+            if reused and ranking.floor:
+                break
+        done = guesses[:settled]
+        merges += done
+        pending += done
+        sample.take_back(len(guesses) - settled)
         if len(pending) > _REPLACEMENTS_KEPT:
-            rewritten = base.select(_replaced(F.col("w"), pending).alias("w"), "n")
-            base = stage(rewritten.where(F.char_length("w") > 1), "words")
+            base = _stage_words(base.select(_replaced(F.col("w"), pending).alias("w"), "n"))
             pending = []
-        best = _best_pairs(base, pending)
-        learned = _settled(best, tokens, number, vocab_size, min_frequency)
-        if not learned:
-            break
-        merges += learned
-        pending += learned
+        if settled < len(guesses) and ranking.floor:
+            ranking, fresh = _count_pairs(base, pending), True
     return Vocabulary(tuple(tokens), tuple(merges), specials, "<unk>" if "<unk>" in number else None)
 
 
@@ -73,10 +112,8 @@ def vocabulary_rows(vocabulary: Vocabulary) -> list[tuple[int, str, int | None,
     return [(i, t, *made.get(i, (None, None))) for i, t in enumerate(vocabulary.tokens)]
 
 
-def save_vocabulary(spark, vocabulary: Vocabulary, path: str) -> None:
+def save_vocabulary(spark: SparkSession, vocabulary: Vocabulary, path: str) -> None:
     """Write the vocabulary as one small JSON file."""
-    import json
-
     text = json.dumps(
         {
             "tokens": vocabulary.tokens,
@@ -88,10 +125,8 @@ def save_vocabulary(spark, vocabulary: Vocabulary, path: str) -> None:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def load_vocabulary(spark, path: str) -> Vocabulary:
+def load_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
     """Read a saved vocabulary; a missing one is an error."""
-    import json
-
     raw = json.loads(spark.read.text(path, wholetext=True).first()["value"])
     return Vocabulary(
         tuple(raw["tokens"]),
@@ -111,59 +146,169 @@ def _symbol(code: str) -> int:
     return (point if point < _SURROGATES else point - 0x800) - _FIRST_CODE
 
 
-def _replaced(word: Column, merges: list[tuple[int, int, int]]) -> Column:
+def _replaced(word: Column, merges: list[Merge]) -> Column:
     for left, right, new in merges:
         word = F.replace(word, F.lit(_code(left) + _code(right)), F.lit(_code(new)))
     return word
 
 
-def _best_pairs(base: DataFrame, pending: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """The most frequent pairs as ``(left, right, count)``; equal counts go by ids."""
-    symbols = base.select(F.split(_replaced(F.col("w"), pending), "").alias("s"), "n").where(
-        F.size("s") > 1
-    )
-    pairs = F.zip_with(
-        F.slice("s", 1, F.size("s") - 1), F.slice("s", 2, F.size("s") - 1), F.concat
-    )
+def _stage_words(words: DataFrame) -> DataFrame:
+    """Write the words that can still be merged, spread over at least all cores."""
+    words = words.where(F.char_length("w") > 1)
+    cores = words.sparkSession.sparkContext.defaultParallelism
+    if words.rdd.getNumPartitions() < cores:
+        words = words.repartition(cores)
+    return stage(words, "words")
+
+
+class _Ranking:
+    """Pair counts with the best pair at hand; equal counts go by ids."""
+
+    def __init__(self, counts: dict[str, int], floor: int) -> None:
+        self.counts, self.floor = counts, floor
+        self._heap = [(-n, pair) for pair, n in counts.items()]
+        heapq.heapify(self._heap)
+
+    def best(self) -> tuple[str, int]:
+        while self._heap:
+            n, pair = self._heap[0]
+            if self.counts.get(pair) == -n:
+                return pair, -n
+            heapq.heappop(self._heap)
+        return "", 0
+
+    def change(self, changes: dict[str, int]) -> None:
+        for pair, n in changes.items():
+            total = self.counts.get(pair, 0) + n
+            if total > 0:
+                self.counts[pair] = total
+                heapq.heappush(self._heap, (-total, pair))
+            else:
+                self.counts.pop(pair, None)
+
+
+def _pairs(word: Column) -> Column:
+    symbols = F.split(word, "")
+    heads = F.slice(symbols, 1, F.size(symbols) - 1)
+    tails = F.slice(symbols, 2, F.size(symbols) - 1)
+    return F.zip_with(heads, tails, lambda left, right: F.concat(left, right))
+
+
+def _count_pairs(base: DataFrame, pending: list[Merge]) -> _Ranking:
+    """Exact counts of the most frequent pairs; the floor is what an unlisted pair may have."""
+    words = base.select(_replaced(F.col("w"), pending).alias("w"), "n")
     counted = (
-        symbols.select(F.explode(pairs).alias("pair"), "n")
+        words.where(F.char_length("w") > 1)
+        .select(F.explode(_pairs(F.col("w"))).alias("pair"), "n")
         .groupBy("pair")
         .agg(F.sum("n").alias("n"))
     )
-    top = counted.orderBy(F.desc("n"), "pair").limit(_PAIRS_PER_ROUND).collect()
-    return [(_symbol(r["pair"][0]), _symbol(r["pair"][1]), r["n"]) for r in top]
+    top = counted.orderBy(F.desc("n"), "pair").limit(_KEPT_PAIRS).collect()
+    floor = top[-1]["n"] if len(top) == _KEPT_PAIRS else 0
+    return _Ranking({row["pair"]: row["n"] for row in top}, floor)
 
 
-def _settled(
-    best: list[tuple[int, int, int]],
+def _guess(
+    ranking: _Ranking,
+    sample: _Sample,
     tokens: list[str],
     number: dict[str, int],
     vocab_size: int,
     min_frequency: int,
-) -> list[tuple[int, int, int]]:
-    """The merges that one-by-one learning would make next, as far as one round can tell.
-
-    The best pair is always next. A later pair follows without a recount when it shares
-    no symbol with the merges before it, so its count is unchanged, and when it is
-    strictly more frequent than the pair ranked after it, so no pair made by those merges
-    can come first. A pair of equal symbols, or a token that exists already, ends the round.
-    """
-    learned: list[tuple[int, int, int]] = []
-    touched: set[int] = set()
-    for i, (left, right, n) in enumerate(best):
-        if n < max(min_frequency, 1) or len(tokens) >= vocab_size:
+) -> list[Merge]:
+    """The next merges if all words behaved like the most frequent ones; the first is certain."""
+    ahead = _Ranking(dict(ranking.counts), ranking.floor)
+    names, ids = list(tokens), dict(number)
+    merges: list[Merge] = []
+    while len(merges) < _GUESSES and len(names) < vocab_size:
+        pair, n = ahead.best()
+        if n < max(min_frequency, 1):
             break
-        if learned:
-            strict = i + 1 < len(best) and n > best[i + 1][2]
-            if left in touched or right in touched or not strict:
-                break
-        token = tokens[left] + tokens[right]
-        known = token in number
-        if not known:
-            number[token] = len(tokens)
-            tokens.append(token)
-        learned.append((left, right, number[token]))
-        touched |= {left, right}
-        if known or left == right:
-            break
-    return learned
+        left, right = _symbol(pair[0]), _symbol(pair[1])
+        new = ids.setdefault(names[left] + names[right], len(names))
+        if new == len(names):
+            names.append(names[left] + names[right])
+        merges.append((left, right, new))
+        change = sample.merge(pair, _code(new))
+        # The pair itself is gone, whatever the sample says.
+        change[pair] = -n
+        ahead.change(change)
+    return merges
+
+
+class _Sample:
+    """The most frequent words, merged ahead of what is settled."""
+
+    def __init__(self, words: list[str], times: list[int]) -> None:
+        self._words, self._times = words, times
+        self._steps: list[list[tuple[int, str]]] = []
+        # Words that hold a pair, or held it once.
+        self._holders: defaultdict[str, set[int]] = defaultdict(set)
+        for i, word in enumerate(words):
+            for left, right in zip(word, word[1:]):
+                self._holders[left + right].add(i)
+
+    def merge(self, pair: str, new: str) -> defaultdict[str, int]:
+        change: defaultdict[str, int] = defaultdict(int)
+        before = []
+        for i in self._holders[pair]:
+            word = self._words[i]
+            if pair in word:
+                after = word.replace(pair, new)
+                _add_pairs(change, word, -self._times[i])
+                _add_pairs(change, after, self._times[i])
+                for left, right in zip(after, after[1:]):
+                    if new in (left, right):
+                        self._holders[left + right].add(i)
+                before.append((i, word))
+                self._words[i] = after
+        self._steps.append(before)
+        return change
+
+    def take_back(self, steps: int) -> None:
+        """Undo the last merges."""
+        for _ in range(steps):
+            for i, word in self._steps.pop():
+                self._words[i] = word
+
+
+def _add_pairs(change: defaultdict[str, int], word: str, times: int) -> None:
+    for left, right in zip(word, word[1:]):
+        change[left + right] += times
+
+
+def _replay(base: DataFrame, pending: list[Merge], guesses: list[Merge]) -> list[dict[str, int]]:
+    """How each guessed merge, made after those before it, changes the pair counts."""
+    before = [(_code(left) + _code(right), _code(new)) for left, right, new in pending]
+    steps = [(_code(left) + _code(right), _code(new)) for left, right, new in guesses]
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        changes: list[defaultdict[str, int]] = [defaultdict(int) for _ in steps]
+        for batch in batches:
+            for word, times in zip(batch.column("w").to_pylist(), batch.column("n").to_pylist()):
+                for old, new in before:
+                    word = word.replace(old, new)
+                for (old, new), change in zip(steps, changes):
+                    if old in word:
+                        after = word.replace(old, new)
+                        _add_pairs(change, word, -times)
+                        _add_pairs(change, after, times)
+                        word = after
+        rows = [(i, p, n) for i, change in enumerate(changes) for p, n in change.items() if n]
+        columns = list(zip(*rows)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())],
+            names=["step", "pair", "n"],
+        )
+
+    # Each task returns its changes added up, a few rows per guess.
+    changed = (
+        base.mapInArrow(follow, "step int, pair string, n bigint")
+        .groupBy("step", "pair")
+        .agg(F.sum("n").alias("n"))
+        .where("n <> 0")
+    )
+    found: list[dict[str, int]] = [{} for _ in guesses]
+    for row in changed.collect():
+        found[row["step"]][row["pair"]] = row["n"]
+    return found

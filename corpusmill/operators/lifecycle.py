@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.operators.prefix import BLOCK_BITS, required
+from corpusmill.operators.prefix import BLOCK_BITS, FAN_BITS, required
 from corpusmill.schemas import PENDING, STATES, TRANSITIONS
 
 
@@ -36,16 +36,16 @@ def with_previous(
     inside = Window.partitionBy(key, block).orderBy(seq)
     placed = rows.withColumns({"__before": F.lag(value).over(inside), "__rank": F.row_number().over(inside)})
     ends = rows.groupBy(key, block).agg(F.max_by(value, seq).alias("__end"))
-    carried = _carry(ends, key, block, bits).withColumn("__rank", F.lit(1))
+    carried = _carry(ends, key, block).withColumn("__rank", F.lit(1))
     joined = placed.join(carried, [key, block, "__rank"], "left")
     previous = F.coalesce("__before", "__carried", F.lit(first))
     return joined.select(*events.columns, previous.alias("previous"))
 
 
-def _carry(ends: DataFrame, key: str, block: str, bits: int) -> DataFrame:
+def _carry(ends: DataFrame, key: str, block: str) -> DataFrame:
     """For each block of a key, the end value of the block before it; in two levels."""
     outer = "__outer"
-    rows = ends.withColumn(outer, F.shiftright(F.col(block), bits))
+    rows = ends.withColumn(outer, F.shiftright(F.col(block), FAN_BITS))
     near = Window.partitionBy(key, outer).orderBy(block)
     far = Window.partitionBy(key).orderBy(outer)
     last = rows.groupBy(key, outer).agg(F.max_by("__end", block).alias("__last"))

@@ -11,7 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.plans.staging import stage
+
+# 4,096 positions per block, then three levels of 131,072: together 63 bits.
 BLOCK_BITS = 12
+FAN_BITS = 17
+LEVELS = 3
 BLOCK = "__block"
 
 
@@ -21,16 +26,14 @@ def running_totals(
     pos: str,
     totals: dict[str, Column],
     bits: int = BLOCK_BITS,
-    block: Column | None = None,
 ) -> DataFrame:
     """Add the total of each value over the group up to and including the row.
 
-    ``df`` is read three times, so it should be narrow and staged. Only the rows of one
-    block are sorted together; block totals are summed before they are shuffled.
-    ``block`` may name blocks of another kind, such as file splits; it must rise with
-    ``pos`` inside a group. Group keys must not be NULL (see :func:`required`).
+    ``df`` is read twice: once for the totals of blocks, which are summed before they are
+    shuffled and written out, and once for the rows, of which only those of one block are
+    sorted together. Group keys must not be NULL (see :func:`required`).
     """
-    rows = df.withColumn(BLOCK, F.shiftright(F.col(pos), bits) if block is None else block)
+    rows = df.withColumn(BLOCK, F.shiftright(F.col(pos), bits))
     upto = (
         Window.partitionBy(*group, BLOCK)
         .orderBy(pos)
@@ -38,7 +41,9 @@ def running_totals(
     )
     inside = rows.withColumns({f"__in_{n}": F.sum(v).over(upto) for n, v in totals.items()})
     per_block = rows.groupBy(*group, BLOCK).agg(*[F.sum(v).alias(n) for n, v in totals.items()])
-    before = totals_before(per_block, group, BLOCK, list(totals), bits)
+    per_block = stage(per_block, "blocks")
+    levels = 1 if per_block.count() <= 1 << FAN_BITS else LEVELS
+    before = totals_before(per_block, group, BLOCK, list(totals), levels=levels)
     return inside.join(before, [*group, BLOCK]).select(
         *[c for c in df.columns if c not in totals],
         *[(F.col(f"__in_{n}") + F.col(f"__before_{n}")).alias(n) for n in totals],
@@ -46,18 +51,29 @@ def running_totals(
 
 
 def totals_before(
-    per_block: DataFrame, group: list[str], block: str, names: list[str], bits: int = BLOCK_BITS
+    per_block: DataFrame,
+    group: list[str],
+    block: str,
+    names: list[str],
+    fan_bits: int = FAN_BITS,
+    levels: int = LEVELS,
 ) -> DataFrame:
-    """For each block, ``__before_<name>``: the totals of all earlier blocks of its group."""
-    outer = "__outer"
-    rows = per_block.withColumn(outer, F.shiftright(F.col(block), bits))
-    inside = _summed_before(rows, [*group, outer], block, names, "__in_")
+    """For each block, ``__before_<name>``: the totals of all earlier blocks of its group.
+
+    With one level all blocks of a group are sorted together. Each further level first
+    adds up runs of ``2**fan_bits`` neighbouring blocks.
+    """
+    if levels == 1:
+        return _summed_before(per_block, group, block, names, "__before_")
+    outer = f"{block}_{levels}"
+    rows = per_block.withColumn(outer, F.shiftright(F.col(block), fan_bits))
+    inside = _summed_before(rows, [*group, outer], block, names, "__near_")
     per_outer = rows.groupBy(*group, outer).agg(*[F.sum(n).alias(n) for n in names])
-    before = _summed_before(per_outer, group, outer, names, "__out_")
+    before = totals_before(per_outer, group, outer, names, fan_bits, levels - 1)
     return inside.join(before, [*group, outer]).select(
         *group,
         block,
-        *[(F.col(f"__in_{n}") + F.col(f"__out_{n}")).alias(f"__before_{n}") for n in names],
+        *[(F.col(f"__near_{n}") + F.col(f"__before_{n}")).alias(f"__before_{n}") for n in names],
     )
 
 
@@ -76,4 +92,4 @@ def _summed_before(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     sums = [F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{prefix}{n}") for n in names]
-    return rows.select(*keys, order, *sums) if order not in keys else rows.select(*keys, *sums)
+    return rows.select(*keys, order, *sums)

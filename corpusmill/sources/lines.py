@@ -39,8 +39,9 @@ def scan_lines(
                 F.sum((F.octet_length("raw") + 1).cast("bigint")).alias("bytes"),
             )
         )
+        # A window over the splits of one file: a few rows per gigabyte.
         before = totals_before(
-            stage(per_split, "splits"), ["file"], "split_start", ["records", "bytes"], bits=40
+            stage(per_split, "splits"), ["file"], "split_start", ["records", "bytes"], levels=1
         )
         before = broadcast_if_small(stage(before, "split_offsets"))
         counted = counted.join(before, ["file", "split_start"])

@@ -17,9 +17,10 @@ def id_line(ids: Column) -> Column:
 def write_token_ids(token_docs: DataFrame, path: str, order: str, ids: str = "ids") -> int:
     """Write one line of ids per document, in order over the part files; return the tokens."""
     seen = Observation()
-    sized = token_docs.observe(seen, F.sum(F.size(ids).cast("bigint")).alias("tokens"))
-    lines = sized.orderBy(order).select(id_line(F.col(ids)).alias("value"))
-    lines.write.text(path)
+    # Counted above the sort, which runs once; below it, the sampling would count too.
+    placed = token_docs.select(order, ids).orderBy(order)
+    counted = placed.observe(seen, F.sum(F.size(ids).cast("bigint")).alias("tokens"))
+    counted.select(id_line(F.col(ids)).alias("value")).write.text(path)
     return int(seen.get["tokens"] or 0)
 
 

@@ -26,12 +26,14 @@ def running_totals(
     pos: str,
     totals: dict[str, Column],
     bits: int = BLOCK_BITS,
+    staged: bool = False,
 ) -> DataFrame:
     """Add the total of each value over the group up to and including the row.
 
     ``df`` is read twice: once for the totals of blocks, which are summed before they are
     shuffled and written out, and once for the rows, of which only those of one block are
-    sorted together. Group keys must not be NULL (see :func:`required`).
+    sorted together. ``staged`` says that ``df`` is cheap to read, so the totals of blocks
+    need no copy. Group keys must not be NULL (see :func:`required`).
     """
     rows = df.withColumn(BLOCK, F.shiftright(F.col(pos), bits))
     upto = (
@@ -41,8 +43,13 @@ def running_totals(
     )
     inside = rows.withColumns({f"__in_{n}": F.sum(v).over(upto) for n, v in totals.items()})
     per_block = rows.groupBy(*group, BLOCK).agg(*[F.sum(v).alias(n) for n, v in totals.items()])
-    per_block = stage(per_block, "blocks")
-    levels = 1 if per_block.count() <= 1 << FAN_BITS else LEVELS
+    if staged:
+        spread = F.max(BLOCK) - F.min(BLOCK)
+        few = (rows.agg(spread.alias("spread")).first()["spread"] or 0) < 1 << FAN_BITS
+    else:
+        per_block = stage(per_block, "blocks")
+        few = per_block.count() <= 1 << FAN_BITS
+    levels = 1 if few else LEVELS
     before = totals_before(per_block, group, BLOCK, list(totals), levels=levels)
     return inside.join(before, [*group, BLOCK]).select(
         *[c for c in df.columns if c not in totals],

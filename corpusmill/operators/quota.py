@@ -31,13 +31,17 @@ def sized_records(
 
 
 def with_offsets(sized: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
-    """Add ``end_offset`` (bytes) and ``record_index`` (records), counted through the row."""
+    """Add ``end_offset`` (bytes) and ``record_index`` (records), counted through the row.
+
+    ``sized`` is read three times; it should come from :func:`sized_records`.
+    """
     return running_totals(
         sized,
         ["source_id"],
         "pos",
         {"end_offset": F.col("size"), "record_index": F.lit(1).cast("bigint")},
         bits=bits,
+        staged=True,
     )
 
 

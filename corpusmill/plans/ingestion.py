@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from corpusmill.functions import keys
 from corpusmill.operators import control, quota, reconcile, sharding
 from corpusmill.operators.manifest import manifest_json, run_manifest
-from corpusmill.operators.lifecycle import transition_allowed
 from corpusmill.operators.registry import require_valid, source_plan
 from corpusmill.plans.staging import stage
 from corpusmill.plans.tables import ControlTables
@@ -30,6 +29,10 @@ from corpusmill.schemas import (
     PENDING,
     RETRYING,
     RUNNING,
+    REGISTRATIONS,
+    RUNS,
+    STATUS_EVENTS,
+    TRANSITIONS,
 )
 from corpusmill.sources import shards as shard_files
 from corpusmill.sources.datasets import dataset_records, read_numbered
@@ -113,11 +116,10 @@ def run_source(
     if opened:
         run_id, version_id = keys.new_run_id(), keys.new_version_id()
         started = [(run_id, name, version_id, _now())]
-        tables.append("runs", spark.createDataFrame(started, tables.read("runs").schema))
+        tables.append("runs", spark.createDataFrame(started, RUNS))
     retry = [RETRYING] if state["status"] == FAILED else []
     _set_status(tables, name, None, [*retry, RUNNING])
-    run_retry = retry if not opened else []
-    _set_status(tables, None, run_id, [*run_retry, RUNNING])
+    _set_status(tables, None, run_id, [RUNNING] if opened else [*retry, RUNNING])
     try:
         paused = _ingest(
             tables, source, state, settings, run_id, version_id, ingestion_date, pause_requested
@@ -225,8 +227,9 @@ def _ingest(
         number = F.col("shard_sequence")
         part = borders.where((number > first) & (number <= first + wave))
         # Records outside the wave are dropped before the payloads are shuffled.
-        low, high = part.agg(F.min("after_pos"), F.max("last_pos")).first()
-        within = records.where((F.col("pos") > (low or cursor)) & (F.col("pos") <= high))
+        begin = F.min(F.coalesce("after_pos", F.lit(cursor)))
+        low, high = part.agg(begin, F.max("last_pos")).first()
+        within = records.where((F.col("pos") > low) & (F.col("pos") <= high))
         _store_and_commit(tables, within, part, settings, name, kind, run_id, version_id, ingestion_date, done)
         if pause_requested():
             return True
@@ -308,8 +311,7 @@ def _register(tables: ControlTables, source: Row) -> None:
         None,
         _now(),
     )
-    schema = tables.read("registrations").schema
-    tables.append("registrations", tables.spark.createDataFrame([row], schema))
+    tables.append("registrations", tables.spark.createDataFrame([row], REGISTRATIONS))
 
 
 def _set_status(
@@ -317,28 +319,27 @@ def _set_status(
 ) -> None:
     """Append status changes of a source, a run or both; the last one carries the error."""
     now, seq = _now(), time.time_ns()
+    keys_ = {"source": source_id, "run": run_id}
+    current = _current_statuses(tables, keys_)
     rows = []
-    for entity, key in (("source", source_id), ("run", run_id)):
+    for entity, key in keys_.items():
         if key is None:
             continue
-        current = _current_status(tables, entity, key)
-        for i, status in enumerate(steps):
-            _require_transition(tables.spark, current, status)
-            current = status
+        status = current.get(entity, PENDING)
+        for i, target in enumerate(steps):
+            if status != target and (status, target) not in TRANSITIONS:
+                raise ValueError(f"invalid source state transition: {status} -> {target}")
+            status = target
             rows.append((entity, key, seq + i, status, error if i == len(steps) - 1 else None, now))
-    tables.append("status_events", tables.spark.createDataFrame(rows, tables.read("status_events").schema))
+    events = tables.spark.createDataFrame(rows, STATUS_EVENTS)
+    tables.append("status_events", events)
 
 
-def _current_status(tables: ControlTables, entity: str, key: str) -> str:
-    mine = (F.col("entity") == entity) & (F.col("id") == key)
-    found = tables.read("status_events").where(mine).agg(F.max_by("status", "seq")).first()[0]
-    return found or PENDING
-
-
-def _require_transition(spark: SparkSession, before: str, after: str) -> None:
-    allowed = spark.range(1).select(transition_allowed(F.lit(before), F.lit(after))).first()[0]
-    if not allowed:
-        raise ValueError(f"invalid source state transition: {before} -> {after}")
+def _current_statuses(tables: ControlTables, wanted: dict[str, str | None]) -> dict[str, str]:
+    named = [f"{entity}/{key}" for entity, key in wanted.items()]
+    mine = F.concat_ws("/", "entity", "id").isin(named)
+    last = tables.read("status_events").where(mine).groupBy("entity")
+    return {r["entity"]: r["status"] for r in last.agg(F.max_by("status", "seq").alias("status")).collect()}
 
 
 def _append_statuses(tables: ControlTables, statuses: DataFrame) -> None:

@@ -520,13 +520,22 @@ ORACLES: dict[str, str] = {
           (t - 1) // {N} AS num_blocks, ((t - 1) // {N}) * {N} AS num_tokens, '<u4' AS dtype
         FROM (SELECT CAST(sum(len(ids)) AS BIGINT) AS t FROM token_docs)""",
     ),
-    "pack_check": """SELECT * FROM (VALUES
-          ('invalid token count in pack metadata', 'short'),
-          ('packed data does not match metadata', 'short'),
-          ('invalid token count in pack metadata', 'wrong_tokens'),
-          ('invalid pack metadata values', 'no_length'),
-          ('invalid token count in pack metadata', 'no_length'),
-          ('packed data does not match metadata', 'no_length')) v(problem, metadata)""",
+    "pack_check": _with(
+        TOKENS,
+        f"""total AS (SELECT CAST(sum(len(ids)) AS BIGINT) AS t FROM token_docs),
+        stored AS (SELECT (t - 1) // {N} AS blocks, ((t - 1) // {N}) * {N + 1} AS ids FROM total),
+        cases AS (
+          SELECT 'sound' AS metadata, {N} AS n, blocks, blocks * {N} AS tokens, ids FROM stored
+          UNION ALL SELECT 'short', {N}, blocks - 1, blocks * {N}, ids FROM stored
+          UNION ALL SELECT 'wrong_tokens', {N}, blocks, blocks * {N} + 1, ids FROM stored
+          UNION ALL SELECT 'no_length', 0, blocks, blocks * {N}, ids FROM stored)""",
+        select="""SELECT 'invalid pack metadata values' AS problem, metadata FROM cases
+          WHERE n <= 0 OR blocks <= 0
+        UNION ALL SELECT 'invalid token count in pack metadata', metadata FROM cases
+          WHERE tokens <> blocks * n
+        UNION ALL SELECT 'packed data does not match metadata', metadata FROM cases
+          WHERE blocks * (n + 1) * 4 <> ids * 4""",
+    ),
     "packed_file": _with(
         TOKENS,
         select=f"""SELECT 'train-' || printf('%06d', f + 1) || '.bin' AS object_key,

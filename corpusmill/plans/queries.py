@@ -680,7 +680,8 @@ def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def min_chars_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents.normalized(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     long = documents.min_chars_filter(docs, 200)
-    return long.select("doc_id", "source", F.char_length("text").alias("chars"))
+    chars = F.char_length("text").cast("bigint")
+    return long.select("doc_id", "source", chars.alias("chars"))
 
 
 def require_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

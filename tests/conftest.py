@@ -11,6 +11,7 @@ from corpusmill.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "corpusmill-tests")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     yield session
     session.stop()
 

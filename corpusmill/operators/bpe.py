@@ -25,8 +25,8 @@ from corpusmill.plans.staging import stage
 from corpusmill.schemas import DEFAULT_SPECIAL_TOKENS
 
 # Merges guessed per job, words the guesses are made on, pairs the driver keeps.
-_GUESSES = 32
-_GUESS_WORDS = 50_000
+_GUESSES = 64
+_GUESS_WORDS = 200_000
 _KEPT_PAIRS = 200_000
 # Replacements after which the rewritten words are written out again.
 _REPLACEMENTS_KEPT = 24
@@ -96,7 +96,7 @@ def train_bpe_from_counts(
         merges += done
         pending += done
         sample.take_back(len(guesses) - settled)
-        if len(pending) > _REPLACEMENTS_KEPT:
+        if len(pending) > _REPLACEMENTS_KEPT and len(tokens) < vocab_size:
             base = _stage_words(base.select(_replaced(F.col("w"), pending).alias("w"), "n"))
             pending = []
         if settled < len(guesses) and ranking.floor:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import WHITESPACE, normalize, strip
+from corpusmill.functions.text import WHITESPACE, computed_once, normalize, strip
 from corpusmill.operators.prefix import BLOCK_BITS, required, running_totals
 from corpusmill.schemas import DEFAULT_MIN_CHARS
 
@@ -33,17 +33,17 @@ def assemble_documents(
     rows = lines.select(
         required(file).alias("file"),
         F.col(pos).cast("bigint").alias("line_no"),
-        strip(F.col(value)).alias("value"),
+        computed_once(strip(F.col(value))).alias("value"),
     )
     blank = (F.col("value") == "").cast("bigint")
     placed = running_totals(rows, ["file"], "line_no", {"blanks": blank}, bits=bits)
-    in_order = F.array_sort(F.collect_list(F.struct("line_no", "value")))
+    in_order = F.sort_array(F.collect_list(F.struct("line_no", "value")))
     joined = (
         placed.where(F.col("value") != "")
         .groupBy("file", "blanks")
         .agg(F.min("line_no").alias("first_line"), in_order.alias("parts"))
     )
-    text = normalize(F.array_join(F.col("parts.value"), " "))
+    text = computed_once(normalize(F.array_join(F.col("parts.value"), " ")))
     return min_chars_filter(joined.select("file", "first_line", text.alias("text")), min_chars)
 
 
@@ -65,19 +65,17 @@ def read_documents(
         F.monotonically_increasing_id().alias("row"),
         F.make_valid_utf8("value").alias("piece"),
     )
-    parts = pieces.select(
-        "file",
-        "split_start",
-        "row",
-        F.posexplode(F.split("piece", _BLANK_LINES)).alias("part", "body"),
+    bodies = F.transform(F.split("piece", _BLANK_LINES), normalize)
+    documents = pieces.select(
+        "file", "split_start", "row", F.posexplode(bodies).alias("part", "text")
     )
-    documents = parts.select("file", "split_start", "row", "part", normalize(F.col("body")).alias("text"))
     return min_chars_filter(documents.where(F.col("text") != ""), min_chars)
 
 
 def normalized(df: DataFrame, text: str = "text") -> DataFrame:
     """Replace a text column by its normalised form."""
-    return df.withColumn(text, normalize(F.col(text)))
+    once = computed_once(normalize(F.col(text))).alias(text)
+    return df.select(*[once if c == text else F.col(c) for c in df.columns])
 
 
 def min_chars_filter(df: DataFrame, min_chars: int = DEFAULT_MIN_CHARS, text: str = "text") -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.numbers import whole_div
 from corpusmill.functions.text import pretokens
 from corpusmill.operators.tokens import pretoken_counts
+from corpusmill.plans.staging import stage
 
 
 def weighted_perplexity(scores: DataFrame) -> DataFrame:
@@ -37,16 +39,18 @@ def unigram_scores(
     Counts are raised by one, so unseen words have a probability too. Words are counted
     per batch before the join, so a frequent word is one row and not one per occurrence.
     """
-    counts = pretoken_counts(corpus, text)
+    counts = stage(pretoken_counts(corpus, text), "word_counts")
     total = counts.agg(F.sum("n")).scalar()
     distinct = counts.agg(F.count("*")).scalar()
-    batch = F.floor(F.col(item_id) / batch_size).alias("batch_id")
+    batch = whole_div(F.col(item_id), batch_size).alias("batch_id")
     words = (
         heldout.select(batch, F.explode(pretokens(F.col(text))).alias("word"))
         .groupBy("batch_id", "word")
         .agg(F.count("*").alias("times"))
     )
-    joined = words.join(counts, "word", "left")
+    # The held-out words are few, so they pick their counts before anything large is moved.
+    wanted = counts.join(words.select("word"), "word", "left_semi")
+    joined = words.join(wanted, "word", "left")
     chance = (F.coalesce(F.col("n"), F.lit(0)) + 1) / (total + distinct + 1)
     return (
         joined.groupBy("batch_id")

@@ -29,7 +29,7 @@ def run_manifest(runs: DataFrame, sources: DataFrame, shards: DataFrame) -> Data
         shards.where(F.col("status") == COMPLETED)
         .groupBy("run_id")
         .agg(
-            F.array_sort(F.collect_list(F.struct(*_SHARD_FIELDS))).alias("shards"),
+            F.sort_array(F.collect_list(F.struct(*_SHARD_FIELDS))).alias("shards"),
             F.count("*").alias("total_shards"),
             F.sum("downloaded_size_bytes").alias("total_downloaded_bytes"),
             F.sum("stored_size_bytes").alias("total_stored_bytes"),

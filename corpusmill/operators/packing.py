@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.numbers import whole_div
 from corpusmill.operators.prefix import BLOCK_BITS, running_totals
 from corpusmill.operators.tokens import checked_ids
 
@@ -47,15 +48,15 @@ def pack_blocks(
         return F.struct(block.alias("block_id"), first.alias("first"), body.alias("ids"))
 
     blocks = F.sequence(
-        F.greatest(F.floor((F.col("start") - 1) / n), F.lit(0).cast("bigint")),
-        F.floor((F.col("stop") - 1) / n),
+        F.greatest(whole_div(F.col("start") - 1, n), F.lit(0).cast("bigint")),
+        whole_div(F.col("stop") - 1, n),
     )
     pieces = placed.select(F.inline(F.transform(blocks, piece)))
     whole = pieces.where(F.size("ids") == n + 1).select("block_id", "ids")
     joined = (
         pieces.where(F.size("ids") <= n)
         .groupBy("block_id")
-        .agg(F.array_sort(F.collect_list(F.struct("first", "ids"))).alias("parts"))
+        .agg(F.sort_array(F.collect_list(F.struct("first", "ids"))).alias("parts"))
         .select("block_id", F.flatten(F.col("parts.ids")).alias("ids"))
         .where(F.size("ids") == n + 1)
     )
@@ -110,9 +111,9 @@ def shifted_examples(blocks: DataFrame, sequence_length: int) -> DataFrame:
 def sequential_batches(examples: DataFrame, batch_size: int = 2) -> DataFrame:
     """Neighbouring examples together; the last batch may be short."""
     columns = [c for c in examples.columns if c != "block_id"]
-    in_order = F.array_sort(F.collect_list(F.struct("block_id", *columns)))
+    in_order = F.sort_array(F.collect_list(F.struct("block_id", *columns)))
     grouped = examples.groupBy(
-        F.floor(F.col("block_id") / batch_size).alias("batch_id")
+        whole_div(F.col("block_id"), batch_size).alias("batch_id")
     ).agg(in_order.alias("rows"))
     return grouped.select(
         "batch_id",

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.functions.numbers import whole_div
 from corpusmill.operators.prefix import BLOCK_BITS
 from corpusmill.operators.quota import with_offsets
 from corpusmill.plans.staging import stage
@@ -166,7 +167,7 @@ def _tag_by_join(records: DataFrame, borders: DataFrame) -> DataFrame:
     width = max((spread["high"] - spread["low"]) // (4 * spread["n"]), 1)
 
     def block_of(pos):
-        return F.floor(pos / F.lit(width))
+        return whole_div(pos, width)
 
     first = F.coalesce(F.col("after_pos") + 1, F.col("last_pos"))
     opened = borders.withColumn(
@@ -205,7 +206,7 @@ def _cut(
     counted = set(_OFFSETS) <= set(sized.columns)
     # Written once: the rows are narrow, and both passes below must see the same cut.
     rows = stage(sized if counted else with_offsets(sized, bits), "offsets")
-    leaves = rows.withColumn("node", F.floor((F.col("record_index") - 1) / F.lit(leaf_rows)))
+    leaves = rows.withColumn("node", whole_div(F.col("record_index") - 1, leaf_rows))
     longest = rows.agg(F.max("record_index")).first()[0] or 0
     count = max(math.ceil(longest / leaf_rows), 1)
     if count == 1:
@@ -241,7 +242,7 @@ def _entry_states(leaves: DataFrame, target: int, count: int, fan_in: int) -> Da
         opened, closes = (int(entry[c].iloc[0]) for c in ("opened", "closes"))
         return _walk(steps, target, opened, closes)
 
-    parent = F.floor(F.col("node") / F.lit(fan_in)).alias("parent")
+    parent = whole_div(F.col("node"), fan_in).alias("parent")
     slim = leaves.select("source_id", "node", "pos", "size", "end_offset")
     levels = [
         stage(slim.groupBy("source_id", "node").applyInPandas(summarise, _STEPS), "steps")

@@ -102,11 +102,10 @@ def run_source(
     """Run or resume one source and return its state."""
     spark, name = tables.spark, source["source_id"]
     _register(tables, source)
-    state = control.lookup(tables.sources(), "source_id", name).first()
-    judged = state["verified_bytes"] >= source["max_bytes"]
+    state = tables.sources().where(F.col("source_id") == name).first()
     if state["status"] == COMPLETED:
         return COMPLETED
-    if judged:
+    if state["verified_bytes"] >= source["max_bytes"]:
         _set_status(tables, name, None, [COMPLETED])
         return COMPLETED
     if state["status"] not in (PENDING, PAUSED, FAILED):
@@ -124,9 +123,8 @@ def run_source(
         paused = _ingest(
             tables, source, state, settings, run_id, version_id, ingestion_date, pause_requested
         )
-        if not paused and not control.lookup(tables.sources(), "source_id", name).first()[
-            "completed_shard_count"
-        ]:
+        stored = tables.read("shards").where(F.col("source_id") == name)
+        if not paused and stored.isEmpty():
             raise ValueError(f"source produced no records: {name}")
     except Exception as error:
         _set_status(tables, name, run_id, [FAILED], str(error))
@@ -145,25 +143,28 @@ def recover(tables: ControlTables, settings: Settings) -> DataFrame:
     spark = tables.spark
     sources = stage(tables.sources(), "sources")
     statuses, events = reconcile.reconcile_interrupted(sources)
-    _append_statuses(tables, statuses)
-    tables.append("event_log", control.log_events(events, F.lit(_now())))
+    if not statuses.isEmpty():
+        _append_statuses(tables, statuses)
+        tables.append("event_log", control.log_events(events, F.lit(_now())))
+        sources = stage(tables.sources(), "sources")
     shards = tables.read("shards")
     if shards.isEmpty():
         return spark.createDataFrame([], "source_id string, from_status string, to_status string, error string")
     listing = shard_files.list_objects(spark, settings.bucket_root)
     listing = listing.withColumn("bucket", F.lit(settings.bucket))
-    sources = stage(tables.sources(), "sources")
     bad = stage(reconcile.bad_shards(shards, listing, sources), "bad_shards")
     statuses, events, violations = reconcile.shard_failures(bad, sources)
-    _append_statuses(tables, statuses)
-    tables.append("event_log", control.log_events(events, F.lit(_now())))
+    if not bad.isEmpty():
+        _append_statuses(tables, statuses)
+        tables.append("event_log", control.log_events(events, F.lit(_now())))
     return violations
 
 
 def publish_manifest(tables: ControlTables, run_id: str, settings: Settings) -> str:
     """Store the manifest of a run under its key and return the key."""
-    run = control.lookup(tables.runs(), "run_id", run_id)
-    nested = run_manifest(run, tables.sources(), tables.read("shards"))
+    run = tables.runs().where(F.col("run_id") == run_id)
+    described = control.latest_registrations(tables.read("registrations"))
+    nested = run_manifest(run, described, tables.read("shards"))
     key = keys.manifest_key(F.col("source_id"), F.col("version_id"), F.col("run_id"))
     objects = manifest_json(nested).select(key.alias("object_key"), F.col("manifest").alias("body"))
     return shard_files.write_objects(objects, settings.bucket_root).first()["object_key"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from corpusmill.functions.text import WHITESPACE
 from corpusmill.plans.queries import (
     DATE,
     MAXIMUM,
@@ -15,6 +14,11 @@ from corpusmill.plans.queries import (
 from corpusmill.schemas import SOURCE_TYPES, STATES, TRANSITIONS
 
 N = SEQUENCE_LENGTH
+# Fixed value: whitespace as a class body for the SQL engine's patterns.
+WHITESPACE = (
+    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 WORD = r"\x{200c}\x{200d}\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}"
 WORDS = f"regexp_extract_all(text, '[{WORD}]+|[^{WORD}{WHITESPACE}]+')"
 NORMAL = f"trim(regexp_replace(text, '[{WHITESPACE}]+', ' ', 'g'))"

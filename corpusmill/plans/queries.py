@@ -31,7 +31,7 @@ from corpusmill.plans.staging import new_path, stage
 from corpusmill.schemas import SOURCE_TYPES, STATES
 from corpusmill.sources import shards as shard_files
 from corpusmill.sources import tokens as token_files
-from corpusmill.sources.datasets import text_payload
+from corpusmill.sources.datasets import read_texts, text_payload
 from corpusmill.sources.lines import scan_lines
 from corpusmill.sources.manifests import manifest_records
 from corpusmill.streaming.ingest import ShardCommitter, run_until_paused, start_ingest
@@ -60,9 +60,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    return read_texts(spark, f"{sf_dir}/{name}.parquet")
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as source records: ``source_id, pos, payload``."""
-    docs = read(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     return docs.select(
         F.col("source").alias("source_id"),
         F.col("doc_id").alias("pos"),
@@ -201,7 +205,7 @@ def word_ids(text: Column) -> Column:
 
 
 def token_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     return stage(docs.select("doc_id", "source", word_ids(F.col("text")).alias("ids")), "token_docs")
 
 
@@ -243,7 +247,7 @@ def line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataset_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     payload = text_payload(docs)
     return docs.select("doc_id", payload.alias("payload"), stored_size(payload).alias("size"))
 
@@ -651,7 +655,7 @@ def run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     # Each source is one file; its documents follow each other with a blank line between.
     parts = F.concat(F.split("text", "\n"), F.array(F.lit(" ")))
     lines = docs.select("source", "doc_id", F.posexplode(parts).alias("n", "value")).select(
@@ -664,7 +668,7 @@ def assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_file_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "texts")
-    docs = read(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     ends = F.concat("text", F.when(F.col("doc_id") % 2 == 0, "\n").otherwise("\n \t"))
     docs.select(ends.alias("value")).write.option("lineSep", "\n\n").text(path)
     found = documents.read_documents(spark, path, 40)
@@ -672,20 +676,20 @@ def text_file_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))
-    docs = read(spark, sf_dir, "documents").select((-F.col("doc_id") - 1).alias("page_id"), "text")
+    pages = texts(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))
+    docs = texts(spark, sf_dir).select((-F.col("doc_id") - 1).alias("page_id"), "text")
     return documents.normalized(pages.unionByName(docs))
 
 
 def min_chars_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents.normalized(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    docs = documents.normalized(texts(spark, sf_dir).select("doc_id", "source", "text"))
     long = documents.min_chars_filter(docs, 200)
     chars = F.char_length("text").cast("bigint")
     return long.select("doc_id", "source", chars.alias("chars"))
 
 
 def require_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents.normalized(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    docs = documents.normalized(texts(spark, sf_dir).select("doc_id", "source", "text"))
     found = documents.require_documents(documents.min_chars_filter(docs))
     return found.groupBy("source").agg(F.count("*").alias("documents"))
 
@@ -702,23 +706,23 @@ def split_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.pretoken_counts(read(spark, sf_dir, "documents"))
+    return tokens.pretoken_counts(texts(spark, sf_dir))
 
 
 def bpe_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    learned = bpe.train_bpe(read(spark, sf_dir, "documents"))
+    learned = bpe.train_bpe(texts(spark, sf_dir))
     columns = "id int, token string, left int, right int"
     return spark.createDataFrame(bpe.vocabulary_rows(learned), columns)
 
 
 def corpus_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    learned = bpe.train_bpe(read(spark, sf_dir, "conversations"))
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = bpe.train_bpe(texts(spark, sf_dir, "conversations"))
+    docs = texts(spark, sf_dir).select("doc_id", "text")
     return tokens.encode(docs, learned).select("doc_id", "ids")
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("source", pretokens(F.col("text")).alias("ids"))
+    docs = texts(spark, sf_dir).select("source", pretokens(F.col("text")).alias("ids"))
     per_source = tokens.token_counts(docs, ["source"])
     overall = per_source.agg(
         F.lit("*").alias("source"), F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens")
@@ -727,7 +731,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocab_range_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", word_ids(F.col("text")).alias("ids"))
+    docs = texts(spark, sf_dir).select("doc_id", word_ids(F.col("text")).alias("ids"))
     return tokens.vocab_range_check(docs, VOCAB_SIZE - 400).select("doc_id", "bad_id")
 
 
@@ -779,7 +783,7 @@ def sequential_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weighted_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = evaluation.unigram_scores(
-        read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents"), "item_id"
+        read(spark, sf_dir, "benchmark"), texts(spark, sf_dir), "item_id"
     )
     result = evaluation.weighted_perplexity(scores)
     return result.select(
@@ -789,7 +793,7 @@ def weighted_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoded_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, split, learn, encode, pack: the whole preparation of a training set."""
-    docs = documents.normalized(read(spark, sf_dir, "conversations"))
+    docs = documents.normalized(texts(spark, sf_dir, "conversations"))
     docs = documents.min_chars_filter(docs).withColumn(
         "doc_id", F.shiftleft("conv_id", 16) + F.col("turn")
     )

@@ -32,6 +32,17 @@ def dataset_records(
     )
 
 
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet dataset whose texts are to be worked on by all cores.
+
+    A scan has at most one task per row group. Where that is fewer than there are cores,
+    the rows are dealt out first; a large dataset is left as it is.
+    """
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def read_numbered(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
     """A dataset with ``pos``, the number of the row in file order, counted from 1.
 

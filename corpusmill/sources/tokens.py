@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from corpusmill.functions.numbers import whole_div
 from corpusmill.operators.packing import packed_bytes
 from corpusmill.sources.shards import write_shards
 
@@ -41,7 +42,7 @@ def write_packed(blocks: DataFrame, root: str, name: str, blocks_per_file: int =
 
     Files are ``{name}-%06d.bin`` in block order; one row per file is returned.
     """
-    number = F.floor(F.col("block_id") / blocks_per_file) + 1
+    number = whole_div(F.col("block_id"), blocks_per_file) + 1
     rows = blocks.select(
         F.lit(name).alias("source_id"),
         number.alias("shard_sequence"),

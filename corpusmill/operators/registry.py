@@ -66,25 +66,31 @@ def require_valid(
     return registry
 
 
-def reader_for(source_type: Column) -> Column:
-    """The reader a source type is read with; other types are an error."""
+def reader_for(source_type: Column, more: tuple[str, ...] = ()) -> Column:
+    """The reader a source type is read with; other types are an error.
+
+    Types in ``more`` have readers of their own, named like the type.
+    """
     problem = F.raise_error(F.concat(F.lit("unsupported source type: "), source_type))
     return (
         F.when(source_type == "huggingface_dataset", "dataset")
         .when(source_type.isin("http_lines", "filesystem"), "lines")
         .when(source_type == "dolma_manifest", "manifest")
+        .when(source_type.isin(*more), source_type)
         .otherwise(problem.cast("string"))
     )
 
 
-def source_plan(registry: DataFrame, source_id: str | None = None) -> DataFrame:
+def source_plan(
+    registry: DataFrame, source_id: str | None = None, more_types: tuple[str, ...] = ()
+) -> DataFrame:
     """The sources to run with their readers; sort by ``ordinal`` for registry order."""
     chosen = registry.where(F.col("enabled"))
     if source_id is not None:
         chosen = chosen.where(F.col("source_id") == source_id)
         if chosen.isEmpty():
             raise ValueError(f"unknown or disabled source: {source_id}")
-    return chosen.withColumn("reader", reader_for(F.col("source_type")))
+    return chosen.withColumn("reader", reader_for(F.col("source_type"), more_types))
 
 
 def unsupported_sources(registry: DataFrame) -> DataFrame:

@@ -45,6 +45,12 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str =
     return df.withColumn(ids, _encoder(df, vocabulary)(words))
 
 
+def decode(ids: Column, vocabulary: Vocabulary) -> Column:
+    """The token strings of a list of ids, one after the other."""
+    names = F.array(*[F.lit(token) for token in vocabulary.tokens])
+    return F.array_join(F.transform(ids, lambda i: F.get(names, i)), "")
+
+
 def token_counts(df: DataFrame, group: list[str] | None = None, ids: str = "ids") -> DataFrame:
     """Documents and tokens, overall or per group."""
     return df.groupBy(*(group or [])).agg(

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -27,9 +27,9 @@ from corpusmill.schemas import (
     PAUSE_REQUESTED,
     PAUSED,
     PENDING,
+    REGISTRATIONS,
     RETRYING,
     RUNNING,
-    REGISTRATIONS,
     RUNS,
     STATUS_EVENTS,
     TRANSITIONS,
@@ -44,6 +44,9 @@ _FILE_SHIFT = 40
 _NO_PAUSE: Callable[[], bool] = lambda: False
 
 
+Reader = Callable[[SparkSession, Row, "Settings"], DataFrame]
+
+
 @dataclass(frozen=True)
 class Settings:
     """Where objects go and how large shards are."""
@@ -56,6 +59,9 @@ class Settings:
     # Shards committed together; a pause takes effect between two such waves.
     shards_per_wave: int | None = None
     mirror: tuple[tuple[str, str], ...] = ()
+    # Readers of further source types: a session, a registry row and these settings
+    # give records ``source_id, pos, payload``; positions rise and are never reused.
+    readers: Mapping[str, Reader] = field(default_factory=dict)
 
     @property
     def bucket_root(self) -> str:
@@ -80,7 +86,8 @@ def run_ingestion(
     date = ingestion_date or datetime.now(timezone.utc).date().isoformat()
     results: dict[str, str] = {}
     # One short row per configured source.
-    for row in source_plan(registry, source_id).orderBy("ordinal").collect():
+    plan = source_plan(registry, source_id, tuple(settings.readers))
+    for row in plan.orderBy("ordinal").collect():
         try:
             state = run_source(tables, row, settings, date, pause_requested)
         except Exception as error:
@@ -173,6 +180,8 @@ def publish_manifest(tables: ControlTables, run_id: str, settings: Settings) ->
 def source_records(spark: SparkSession, source: Row, settings: Settings) -> DataFrame:
     """A configured source as ``source_id, pos, payload``; ``pos`` is also its cursor."""
     kind, name = source["source_type"], F.lit(source["source_id"])
+    if kind in settings.readers:
+        return settings.readers[kind](spark, source, settings)
     if kind == "huggingface_dataset":
         rows = read_numbered(spark, source["source_url"])
         for column, value in (("config", source["dataset_config"]), ("split", source["split"])):

@@ -506,6 +506,7 @@ ORACLES: dict[str, str] = {
         FROM documents""",
     "pretoken_counts": f"""SELECT word, count(*) AS n
         FROM (SELECT unnest({WORDS}) AS word FROM documents) GROUP BY word""",
+    "encode_round_trip": f"""SELECT doc_id, array_to_string({WORDS}, '') AS joined FROM documents""",
     "token_counts": f"""WITH c AS (
           SELECT source, count(*) AS documents, CAST(sum(len({WORDS})) AS BIGINT) AS tokens
           FROM documents GROUP BY source)

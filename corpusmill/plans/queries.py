@@ -721,6 +721,14 @@ def corpus_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(docs, learned).select("doc_id", "ids")
 
 
+def encode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts encoded with a vocabulary of their own letters and decoded again."""
+    docs = texts(spark, sf_dir).select("doc_id", "text")
+    learned = bpe.train_bpe(docs, min_frequency=50)
+    ids = tokens.encode(docs, learned)
+    return ids.select("doc_id", tokens.decode(F.col("ids"), learned).alias("joined"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(spark, sf_dir).select("source", pretokens(F.col("text")).alias("ids"))
     per_source = tokens.token_counts(docs, ["source"])
@@ -938,6 +946,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pretoken_counts": pretoken_counts,
     "bpe_train": bpe_train,
     "corpus_encode": corpus_encode,
+    "encode_round_trip": encode_round_trip,
     "token_counts": token_counts,
     "vocab_range_check": vocab_range_check,
     "pack_blocks": pack_blocks,

@@ -26,9 +26,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, so that Spark and plain file access mean the same place."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    if "://" in path or path.startswith("file:") or default.startswith("file:"):
+        return path
+    return default.rstrip("/") + path
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call gets."""
-    return f"{shared_folder(spark)}/corpusmill/{name}-{uuid4().hex}"
+    return f"{qualified(spark, shared_folder(spark))}/corpusmill/{name}-{uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.plans.staging import qualified
 from corpusmill.sources.files import PendingObject
 
 # Bytes one task should hash or write.
@@ -83,6 +84,7 @@ def write_shards(
     its own first. Building it again gives the same bytes, so a retried task is harmless.
     The returned plan does the writing; stage it rather than running it twice.
     """
+    root = qualified(tagged.sparkSession, root)
     records = shard_order(tagged, tasks).select(
         "source_id",
         "shard_sequence",
@@ -119,6 +121,7 @@ def write_shards(
 
 def write_objects(objects: DataFrame, root: str) -> DataFrame:
     """Write each row ``object_key, body`` as one object below ``root``; return the keys."""
+    root = qualified(objects.sparkSession, root)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
@@ -136,6 +139,7 @@ def write_objects(objects: DataFrame, root: str) -> DataFrame:
 
 def list_objects(spark: SparkSession, root: str) -> DataFrame:
     """Objects below ``root`` with their size; contents are not read."""
+    root = qualified(spark, root)
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

@@ -109,6 +109,20 @@ def test_datasets_resume_and_oversize_records_fail(spark, folder):
     assert [json.loads(line)["text"] for line in text.splitlines()] == ["zero", "one", "two", "three"]
 
 
+def test_other_source_types_bring_their_own_reader(spark, folder):
+    def numbers(spark, source, settings):
+        return spark.range(1, int(source["source_url"]) + 1).select(
+            F.lit(source["source_id"]).alias("source_id"),
+            F.col("id").alias("pos"),
+            F.col("id").cast("string").alias("payload"),
+        )
+
+    tables, settings = setup(spark, folder, readers={"numbers": numbers})
+    sources = registry(spark, ("n", "numbers", "9", 10))
+    assert run_ingestion(tables, sources, settings) == {"n": "COMPLETED"}
+    assert state(tables, "n")["verified_bytes"] == 10
+
+
 def test_cursors_round_trip():
     assert position_of(cursor_of("filesystem", 19)) == 19
     assert position_of(cursor_of("huggingface_dataset", 2)) == 2

@@ -9,9 +9,14 @@ from corpusmill.operators.lifecycle import transition_allowed
 from corpusmill.schemas import COMPLETED, FAILED, PAUSE_REQUESTED, PAUSED, RETRYING, RUNNING
 
 ACTIVE = (RUNNING, RETRYING, PAUSE_REQUESTED)
+# Texts and event names that recovery leaves in the tables.
+PAUSED_EVENT = "startup_run_paused"
+PAUSED_MESSAGE = "interrupted run made resumable"
+FAILED_EVENT = "startup_shard_verification_failed"
 PAUSED_ERROR = "startup reconciliation paused interrupted run"
 SIZE_ERROR = "stored shard size does not match metadata"
 MISSING_ERROR = "stored shard is missing"
+# Fixed value: suffixes of unfinished files.
 _SUFFIX = r"[^/]\.(partial|ready|uploading)$"
 
 
@@ -43,9 +48,9 @@ def reconcile_interrupted(sources: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("current_run_id").alias("run_id"),
         "source_id",
         F.lit(None).cast("string").alias("shard_id"),
-        F.lit("startup_run_paused").alias("event_type"),
+        F.lit(PAUSED_EVENT).alias("event_type"),
         F.lit("WARNING").alias("event_level"),
-        F.lit("interrupted run made resumable").alias("message"),
+        F.lit(PAUSED_MESSAGE).alias("message"),
         F.lit(None).cast("string").alias("event_data"),
     )
     return of_source.unionByName(of_run), events
@@ -106,7 +111,7 @@ def shard_failures(bad: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataF
         "run_id",
         "source_id",
         "shard_id",
-        F.lit("startup_shard_verification_failed").alias("event_type"),
+        F.lit(FAILED_EVENT).alias("event_type"),
         F.lit("ERROR").alias("event_level"),
         "message",
         F.to_json(F.struct("object_key")).alias("event_data"),

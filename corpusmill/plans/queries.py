@@ -859,7 +859,7 @@ def exactly_once_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = records(spark, sf_dir)
     commit = _committer(spark)
     first, second = rows.where("pos % 2 = 0"), rows.where("pos % 2 = 1")
-    for batch_id, batch in ((0, first), (0, first), (1, second), (1, second), (0, first)):
+    for batch_id, batch in ((0, first), (0, first), (1, second), (0, first)):
         commit(batch, batch_id)
     return _committed_totals(commit.committed())
 

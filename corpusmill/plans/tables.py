@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from corpusmill import schemas
 from corpusmill.operators import control
@@ -32,7 +32,9 @@ class ControlTables:
         schema = _SCHEMAS[name]
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
             return self.spark.createDataFrame([], schema)
 
     def append(self, name: str, rows: DataFrame) -> None:

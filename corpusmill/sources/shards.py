@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,12 +141,14 @@ def write_objects(objects: DataFrame, root: str) -> DataFrame:
 def list_objects(spark: SparkSession, root: str) -> DataFrame:
     """Objects below ``root`` with their size; contents are not read."""
     root = qualified(spark, root)
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length")
-    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        listed = files.load(root).select("path", "length")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        # Nothing was stored yet, or all of it is gone.
+        return spark.createDataFrame([], "object_key string, length bigint")
     base = F.lit(_plain(root).rstrip("/") + "/")
     plain = F.regexp_replace("path", r"^[A-Za-z0-9+.-]+:/+", "/")
     below = F.when(plain.startswith(base), F.substring(plain, F.length(base) + 1, F.length(plain)))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import StreamingQueryException
 
 from corpusmill.functions import keys
 from corpusmill.operators import control, quota, sharding
@@ -47,7 +47,7 @@ class ShardCommitter:
         """The shards committed so far."""
         try:
             return self.spark.read.schema(_COMMITTED).parquet(self.table)
-        except Exception as error:
+        except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             return self.spark.createDataFrame([], _COMMITTED)

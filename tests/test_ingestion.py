@@ -53,6 +53,8 @@ def test_lines_are_stored_as_verified_shards(spark, folder):
     os.remove(f"{folder}/objects/raw/{stored[0]['object_key']}")
     violations = recover(tables, settings).collect()
     assert [(r["source_id"], r["from_status"]) for r in violations] == [("local", "COMPLETED")]
+    gone = Settings(f"{folder}/elsewhere", target_bytes=8, maximum_bytes=20)
+    assert [r["source_id"] for r in recover(tables, gone).collect()] == ["local"]
 
 
 @pytest.mark.parametrize("quota,verified,count", [(100, 19, 2), (15, 14, 2)])

@@ -12,7 +12,8 @@ def test_entry_has_the_shards_of_every_source(spark):
 def test_every_checked_query_is_registered():
     queries, checks = contract.queries(), contract.oracle_sql()
     assert set(checks) <= set(queries)
-    assert set(queries) - set(checks) == {"bpe_train", "corpus_encode", "encoded_blocks"}
+    own = set(queries) - set(contract.LLM_QUERIES)
+    assert own - set(checks) == {"bpe_train", "corpus_encode", "encoded_blocks"}
 
 
 def test_sql_gives_the_same_rows(spark):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import splitters, warc
+from corpusmill.llm import bin_completion, splitters, token_files, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +25,31 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """The public vocabulary file, which every machine of the cluster has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = token_files.token_folder(spark)
+    docs = read(spark, sf_dir, "documents")
+    parts = token_files.write_token_files(docs, root, vocabulary(), 2, "doc_id", "text")
+    return token_files.read_token_files(spark, parts, root).withColumnRenamed("id", "doc_id")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    pieces = bin_completion.token_pieces(docs, vocabulary(), 0, 2048, "doc_id", "text")
+    return bin_completion.pack(pieces, 2048).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_sharding": op6_sharding,
+    "op7_token_files": op7_token_files,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {

@@ -40,8 +40,9 @@ def shard_by_bytes(
         F.xxhash64(text).alias("__hash"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63))).alias("__id"),
         F.monotonically_increasing_id().alias("__row"),
+        F.lit(0).cast("bigint").alias("__range"),
     )
-    rows = stage(narrow, "sizes").withColumn("__range", F.lit(0).cast("bigint"))
+    rows = stage(narrow, "sizes")
     ranged = _divided(rows, _range_totals(rows).withColumn("pieces", F.lit(FAN)))
     ranged = stage(ranged, "ranges")
     pieces = F.ceil(F.col("rows") * 2 / range_rows).cast("int")

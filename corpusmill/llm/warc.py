@@ -12,10 +12,15 @@ others revisit it; an empty table gives an empty archive; other columns are not
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.plans.staging import new_path, stage
+from corpusmill.sources.files import PendingObject
 
 # The RFC 4648 alphabet, the WARC version line and the profile of revisits.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -162,9 +167,30 @@ def _page(urn: Column) -> Column:
     return F.when(text != "", text.cast("bigint"))
 
 
-def export_warc(spark: SparkSession, path: str, target: str) -> None:
-    """Write the records as text-free binary rows, one part per task, in record order."""
-    read_archive(spark, path).sortWithinPartitions("row").write.parquet(target)
+def export_warc(spark: SparkSession, path: str, root: str) -> DataFrame:
+    """Write the records as ``root/part-*.warc`` files, in record order inside a file.
+
+    Returns ``file, records, bytes`` of each file; a retried task replaces its own file.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        target, records, size = None, 0, 0
+        for batch in batches:
+            for record in batch.column("record"):
+                if target is None:
+                    key = f"part-{task.partitionId():06d}.warc"
+                    target = PendingObject(root, key, task.taskAttemptId())
+                target.write(record.as_buffer())
+                records, size = records + 1, size + record.as_buffer().size
+        if target is not None:
+            target.publish()
+            yield pa.RecordBatch.from_pydict(
+                {"file": [target.key], "records": [records], "bytes": [size]}
+            )
+
+    ordered = read_archive(spark, path).repartitionByRange("row").sortWithinPartitions("row")
+    return stage(ordered.mapInArrow(write, "file string, records long, bytes long"), "warc-files")
 
 
 def archive_folder(spark: SparkSession) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bin_completion, splitters, token_files, warc
+from corpusmill.llm import bin_completion, simhash, splitters, token_files, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,15 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, parts, root).withColumnRenamed("id", "doc_id")
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(read(spark, sf_dir, "documents"), "doc_id", "text")
+    return groups.select(
+        F.col("id").alias("doc_id"),
+        simhash.hex_digits(F.col("fp")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     pieces = bin_completion.token_pieces(docs, vocabulary(), 0, 2048, "doc_id", "text")
@@ -49,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_sharding": op6_sharding,
     "op7_token_files": op7_token_files,
+    "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
 

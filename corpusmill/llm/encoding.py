@@ -15,9 +15,10 @@ import numpy as np
 
 CACHED_PIECES = 1 << 20  # pieces a worker keeps; the cache starts anew beyond them
 JOINED = 4096  # new pieces encoded in one call
-LONG_PIECE = 64  # longer pieces are not kept
+CACHED_IDS = 1 << 23  # ids a worker keeps
 
 _ODD = re.compile(r"\s[ ]|[ ]\s|^[ ]|[ ]$")
+_LINE = re.compile(r"(?<=\S)(\n)(?=\S)")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -73,11 +74,11 @@ class PieceEncoder:
         return cls._own[path]
 
     def _clear(self) -> None:
-        self._known: dict[str, int] = {}
+        self._known = _Numbers()
         self._starts = np.zeros(1024, np.int64)
         self._counts = np.zeros(1024, np.int64)
         self._ids = np.zeros(4096, np.uint32)
-        self._used = self._next = 0
+        self._used = 0
 
     def _plain_ids(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -87,55 +88,104 @@ class PieceEncoder:
         if not self._cuts:
             found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
             return [np.array(x.ids, np.uint32) for x in found]
-        if self._next > CACHED_PIECES:
+        if self._known.size > CACHED_PIECES or self._used > CACHED_IDS:
             self._clear()
+        number = self._known.__getitem__
         cut = [pieces_of(t) for t in texts]
-        fresh = list(set().union(*cut).difference(self._known))
-        for k in range(0, len(fresh), JOINED):
-            self._learn(fresh[k : k + JOINED])
-        known = self._known
-        out = []
-        for pieces in cut:
-            at = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
-            starts, counts = self._starts[at], self._counts[at]
-            ends = np.cumsum(counts)
-            total = int(ends[-1]) if len(ends) else 0
-            place = np.arange(total) + np.repeat(starts - (ends - counts), counts)
-            out.append(self._ids[place])
-        long = [p for p in fresh if len(p) > LONG_PIECE]
-        for p in long:
-            del known[p]
-        return out
-
-    def _learn(self, pieces: list[str]) -> None:
-        # Every piece but a text's first starts with a space; the others are set apart.
-        spaced, apart = [], []
-        for p in pieces:
-            joins = p[0] == " " and len(p) > 1 and not (p[1].isspace() or p[-1].isspace())
-            (spaced if joins else apart).append(p)
-        if spaced:
-            ids = self._plain_ids("".join(spaced))
-            ends = np.cumsum(self._bytes[ids])
-            wanted = np.cumsum([len(p.encode()) for p in spaced])
-            cuts = np.searchsorted(ends, wanted) + 1
-            if not np.array_equal(ends[cuts - 1], wanted):
-                raise RuntimeError("a token crosses a piece; the vocabulary is not byte-level")
-            self._keep(spaced, ids, np.diff(cuts, prepend=0))
-        for p in apart:
-            ids = self._plain_ids(p)
-            self._keep([p], ids, np.array([len(ids)]))
-
-    def _keep(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        first, n = self._next, len(pieces)
-        self._starts = _grown(self._starts, first + n)
-        self._counts = _grown(self._counts, first + n)
+        numbers = [np.fromiter(map(number, pieces), np.int64, len(pieces)) for pieces in cut]
+        self._learn()
+        return [self._gathered(at)[0] for at in numbers]
+
+    def _learn(self) -> None:
+        """Encode the pieces that got a number but have no ids yet."""
+        known, simple = self._known, []
+        made, parts_of, sizes = [], [], []
+        while known.fresh:
+            fresh, known.fresh = known.fresh, []
+            for p in fresh:
+                # Parts are looked up like pieces, so new ones join ``fresh``.
+                parts = _parts(p)
+                if len(parts) > 1:
+                    made.append(known[p])
+                    parts_of.extend(known[x] for x in parts)
+                    sizes.append(len(parts))
+                else:
+                    simple.append(p)
+        self._starts = _grown(self._starts, known.size)
+        self._counts = _grown(self._counts, known.size)
+        spaced, bare = [], []
+        for p in simple:
+            if p[0] == " " and len(p) > 1 and not (p[1].isspace() or p[-1].isspace()):
+                spaced.append(p)
+            elif not (p[0].isspace() or p[-1].isspace()):
+                bare.append(p)
+            else:
+                self._keep([p], self._plain_ids(p), "")
+        for k in range(0, len(spaced), JOINED):
+            self._keep(block := spaced[k : k + JOINED], self._plain_ids("".join(block)), "")
+        for k in range(0, len(bare), JOINED):
+            # A lone line end between other characters is a pretoken of its own.
+            self._keep(block := bare[k : k + JOINED], self._plain_ids("\n".join(block)), "\n")
+        if made:
+            ids, counts = self._gathered(np.array(parts_of))
+            ends = np.cumsum(np.array(sizes))
+            upto = np.concatenate([[0], np.cumsum(counts)])
+            self._put(np.array(made), ids, np.diff(upto[np.concatenate([[0], ends])]))
+
+    def _gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts, counts = self._starts[at], self._counts[at]
+        ends = np.cumsum(counts)
+        place = np.repeat(starts - ends + counts, counts)
+        place += np.arange(len(place))
+        return self._ids[place], counts
+
+    def _keep(self, pieces: list[str], ids: np.ndarray, between: str) -> None:
+        """Cut the ids of joined pieces by the byte lengths of the tokens."""
+        ends = np.cumsum(self._bytes[ids])
+        wanted = np.cumsum([len(p.encode()) + len(between) for p in pieces]) - len(between)
+        stops = np.searchsorted(ends, wanted) + 1
+        if not np.array_equal(ends[stops - 1], wanted):
+            raise RuntimeError("a token crosses a piece; the vocabulary is not byte-level")
+        counts = np.diff(stops, prepend=0)
+        if between:
+            keep = np.ones(len(ids), bool)
+            keep[stops[:-1]] = False
+            ids = ids[keep]
+            counts[1:] -= 1
+        self._put(np.fromiter(map(self._known.__getitem__, pieces), np.int64, len(pieces)), ids, counts)
+
+    def _put(self, numbers: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
         self._ids = _grown(self._ids, self._used + len(ids))
         self._ids[self._used : self._used + len(ids)] = ids
-        self._starts[first : first + n] = self._used + np.cumsum(counts) - counts
-        self._counts[first : first + n] = counts
+        self._starts[numbers] = self._used + np.cumsum(counts) - counts
+        self._counts[numbers] = counts
         self._used += len(ids)
-        self._known.update(zip(pieces, range(first, first + n), strict=True))
-        self._next = first + n
+
+
+class _Numbers(dict):
+    """Numbers pieces in the order they are first asked for."""
+
+    def __init__(self) -> None:
+        self.size = 0
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = self.size
+        self.size += 1
+        self.fresh.append(piece)
+        return number
+
+
+def _parts(piece: str) -> list[str]:
+    """Cut a new piece at lone line ends, and before a last point or comma after a letter."""
+    parts = [x for x in _LINE.split(piece) if x] if "\n" in piece else [piece]
+    out = []
+    for x in parts:
+        if x[-1] in ".," and len(x) > 1 and x[-2].isalpha():
+            out += (x[:-1], x[-1])
+        else:
+            out.append(x)
+    return out
 
 
 def _grown(a: np.ndarray, size: int) -> np.ndarray:

@@ -27,8 +27,8 @@ from corpusmill.llm.encoding import PieceEncoder
 from corpusmill.llm.token_files import batches_of
 from corpusmill.plans.staging import stage
 
-SEARCH_STEPS = 20_000  # fillings looked at for one bin before the best so far is taken
-NODES = 64  # alternatives tried in the search over whole plans
+SEARCH_STEPS = 5_000  # fillings looked at for one bin before the best so far is taken
+NODES = 2  # alternatives tried in the search over whole plans
 NUMBERED_ROWS = 100_000  # pieces of one length that are numbered together, about
 
 
@@ -117,16 +117,37 @@ def _best_fit(space: int, lengths: list[int], counts: dict[int, int]) -> tuple[i
     return space, tuple(chosen)
 
 
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Bins that any plan needs: those of large items, and what smaller ones cannot share.
+
+    For each threshold, items above ``capacity - threshold`` stay alone among those counted,
+    items above half a bin need one each, and the rest must fit into what these leave.
+    """
+    number, size = np.zeros(capacity + 2, np.int64), np.arange(capacity + 2)
+    for k, n in counts.items():
+        number[k] = n
+    items, mass = np.cumsum(number), np.cumsum(number * size)
+    half = capacity // 2
+    best = -(-int(mass[-1]) // capacity)
+    for low in range(1, half + 1):
+        alone = items[capacity] - items[capacity - low]
+        paired = items[capacity - low] - items[half]
+        room = paired * capacity - (mass[capacity - low] - mass[half])
+        rest = mass[half] - mass[low - 1] - room
+        best = max(best, int(alone + paired + max(0, -(-rest // capacity))))
+    return best
+
+
 def completion_plan(
     counts: dict[int, int], capacity: int, steps: int = SEARCH_STEPS, nodes: int = NODES
 ) -> list[tuple[int, tuple]]:
     """Fillings ``(times, ((length, number), ...))`` that use up the counts.
 
     Branch and bound: the affordable waste of a plan with one bin less than the incumbent
-    limits every filling; the search stops at the lower bound ``ceil(total / capacity)``.
+    limits every filling; the search stops at the lower bound.
     """
     total = sum(k * n for k, n in counts.items())
-    least = -(-total // capacity)
+    least = lower_bound(counts, capacity)
     best = _completed(counts, capacity, None, steps, ())
     size = sum(t for t, _ in best)
     # Other choices at the first bins: the second, third, ... undominated filling.
@@ -134,7 +155,7 @@ def completion_plan(
         if size <= least:
             break
         affordable = (size - 1) * capacity - total
-        choices = (k // 8, k % 8) if k else (0,)
+        choices = (0, k + 1)
         other = _completed(counts, capacity, affordable, steps, choices)
         if other is not None and (n := sum(t for t, _ in other)) < size:
             best, size = other, n

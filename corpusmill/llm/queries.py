@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bin_completion, simhash, splitters, token_files, warc
+from corpusmill.llm import bin_completion, fm_index, simhash, splitters, token_files, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = fm_index.benchmark_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return hits.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        fm_index.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.archive_folder(spark)
     warc.write_archive(read(spark, sf_dir, "pages"), path)
@@ -55,6 +67,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_fm_index": op4_fm_index,
     "op5_warc": op5_warc,
     "op6_sharding": op6_sharding,
     "op7_token_files": op7_token_files,

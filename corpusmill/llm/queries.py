@@ -7,13 +7,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bin_completion, fm_index, simhash, splitters, token_files, warc
+from corpusmill.llm import (
+    bin_completion,
+    fm_index,
+    pii,
+    simhash,
+    splitters,
+    token_files,
+    toxicity,
+    warc,
+)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def toxicity_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with ``p_low_quality, p_toxic, is_toxic``, by models fitted on the labels."""
+    categories = toxicity.categories()
+    models = toxicity.train(docs, labels, categories, "doc_id", "text")
+    scored = toxicity.score(docs, models, list(categories), "text")
+    return scored.withColumn("is_toxic", F.col("p_toxic") >= 0.5)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity_scores(spark, docs, read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "p_low_quality", "p_toxic", "is_toxic")
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(read(spark, sf_dir, "documents"), "doc_id", "text")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(kind).alias(f"n_{kind}") for kind in pii.PATTERNS],
+        F.sha2(pii.span_text("base"), 256).alias("base_sha256"),
+        F.concat_ws(",", *[F.when(F.size(c) > 0, pii.span_text(c)) for c in ("base", "more")]).alias("spans"),
+    )
+
+
 def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = fm_index.benchmark_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return hits.select(
@@ -60,13 +94,19 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+def packed(docs: DataFrame) -> DataFrame:
+    """Places of all token pieces of ``docs`` in sequences of 2,048 tokens."""
     pieces = bin_completion.token_pieces(docs, vocabulary(), 0, 2048, "doc_id", "text")
     return bin_completion.pack(pieces, 2048).withColumnRenamed("id", "doc_id")
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op3_pii": op3_pii,
     "op4_fm_index": op4_fm_index,
     "op5_warc": op5_warc,
     "op6_sharding": op6_sharding,

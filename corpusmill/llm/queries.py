@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm import (
     bin_completion,
     fm_index,
+    itq,
     pii,
     simhash,
     splitters,
@@ -37,6 +38,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "p_low_quality", "p_toxic", "is_toxic")
 
 
+def op2_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = itq.near_vectors(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"),
+    )
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(read(spark, sf_dir, "documents"), "doc_id", "text")
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
@@ -106,6 +117,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_itq": op2_itq,
     "op3_pii": op3_pii,
     "op4_fm_index": op4_fm_index,
     "op5_warc": op5_warc,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import (
     bin_completion,
+    context_mixing,
     fm_index,
     itq,
     pii,
@@ -96,6 +97,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, parts, root).withColumnRenamed("id", "doc_id")
 
 
+def op8_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = context_mixing.score(read(spark, sf_dir, "documents"), "doc_id", "text")
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(read(spark, sf_dir, "documents"), "doc_id", "text")
     return groups.select(
@@ -123,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_sharding": op6_sharding,
     "op7_token_files": op7_token_files,
+    "op8_context_mixing": op8_context_mixing,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }

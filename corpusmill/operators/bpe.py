@@ -72,7 +72,11 @@ def train_bpe_from_counts(
     while len(tokens) < vocab_size:
         guesses = _guess(ranking, sample, tokens, number, vocab_size, min_frequency)
         if not guesses:
-            break
+            # Kept pairs have run out, but pairs that were not kept may be frequent enough.
+            if fresh or ranking.floor < max(min_frequency, 1):
+                break
+            ranking, fresh = _count_pairs(base, pending), True
+            continue
         changes = _replay(base, pending, guesses)
         settled = 0
         for merge, change in zip(guesses, changes):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,9 +98,12 @@ def require_documents(df: DataFrame) -> DataFrame:
 def split_last(df: DataFrame, order: str, group: list[str] | None = None) -> DataFrame:
     """Add ``split``: the last document (of each group) validates, the others train."""
     if group:
-        last = df.groupBy(*group).agg(F.max(order).alias("__last"))
+        # A NULL group is a group of its own; a group with most rows is split by adaptive execution.
+        renamed = [F.col(g).alias(f"__group_{g}") for g in group]
+        last = df.groupBy(*renamed).agg(F.max(order).alias("__last"))
+        same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"__group_{g}")) for g in group])
+        with_last = df.join(last, same).drop(*[f"__group_{g}" for g in group])
         is_last = F.col(order) == F.col("__last")
-        with_last = df.join(last, group)
     else:
         with_last = df
         is_last = F.col(order) == df.agg(F.max(order)).scalar()

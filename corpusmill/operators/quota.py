@@ -70,13 +70,14 @@ def quota_prefix(
     """Records in order up to the first one that would pass the byte limit of its source.
 
     ``limits`` is one number, or a table ``source_id, limit_bytes`` with one row per
-    source. Sizes are at least one byte, so the running total rises strictly and the
+    source; a source without one, or with a NULL limit, is not limited. Sizes are at least one byte, so the running total rises strictly and the
     comparison stops where a reader would stop.
     """
     rows = with_offsets(sized, bits)
     if isinstance(limits, DataFrame):
-        rows = rows.join(limits, "source_id")
-        kept = rows.where(F.col("end_offset") <= F.col("limit_bytes")).drop("limit_bytes")
+        rows = rows.join(limits, "source_id", "left")
+        within = F.col("limit_bytes").isNull() | (F.col("end_offset") <= F.col("limit_bytes"))
+        kept = rows.where(within).drop("limit_bytes")
     else:
         kept = rows.where(F.col("end_offset") <= F.lit(limits))
     return kept if max_records is None else record_limit(kept, max_records)

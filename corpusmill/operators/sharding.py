@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from corpusmill.functions.numbers import whole_div
 from corpusmill.operators.prefix import BLOCK_BITS
 from corpusmill.operators.quota import with_offsets
-from corpusmill.plans.staging import stage
+from corpusmill.plans.staging import broadcast_if_small, stage
 
 LEAF_ROWS = 1 << 20
 FAN_IN = 16
@@ -158,37 +158,40 @@ def _tag_by_search(records: DataFrame, borders: DataFrame) -> DataFrame:
 def _tag_by_join(records: DataFrame, borders: DataFrame) -> DataFrame:
     """Exact fallback: list the shards that meet each block of positions, then compare.
 
-    Blocks follow the borders themselves, so they are as many as there are shards.
+    Blocks are as wide as a quarter of a source's average shard, so a source has about
+    four blocks per shard whatever its positions mean. The first listed border of a source
+    takes everything up to its end, as the search does; tables of a later wave need not
+    begin with the first shard.
     """
     block = "__block"
-    spread = borders.agg(
-        F.min("last_pos").alias("low"), F.max("last_pos").alias("high"), F.count("*").alias("n")
-    ).first()
-    width = max((spread["high"] - spread["low"]) // (4 * spread["n"]), 1)
+    # One row per source; its shards and their range of positions.
+    spans = borders.groupBy("source_id").agg(
+        F.min("last_pos").alias("low"), F.max("last_pos").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    width = F.greatest(whole_div(F.col("high") - F.col("low"), 4 * F.col("n")), F.lit(1).cast("bigint"))
+    spans = stage(spans.select("source_id", "low", "high", width.alias("width")), "spans")
+    spans = broadcast_if_small(spans)
 
     def block_of(pos):
-        return whole_div(pos, width)
+        # Positions up to the first listed end share its block.
+        return whole_div(F.greatest(pos, F.col("low")) - F.col("low"), F.col("width"))
 
-    first = F.coalesce(F.col("after_pos") + 1, F.col("last_pos"))
-    opened = borders.withColumn(
+    # Like the search: the first listed shard of a source reaches back to the start.
+    since = F.when(F.col("last_pos") > F.col("low"), F.col("after_pos")).alias("since")
+    opened = borders.join(spans, "source_id").select("*", since).withColumn(
         block,
-        F.explode(F.sequence(block_of(F.least(first, F.col("last_pos"))), block_of(F.col("last_pos")))),
-    )
-    lead = borders.where(F.col("after_pos").isNull()).select(
-        F.col("source_id").alias("lead_source"), F.col("last_pos").alias("lead_last")
+        F.explode(
+            F.sequence(block_of(F.coalesce(F.col("since") + 1, F.col("low"))), block_of(F.col("last_pos")))
+        ),
     )
-    # Records before a source's first border need no search.
-    with_lead = records.join(lead, F.col("source_id") == F.col("lead_source"), "left")
-    in_first = F.col("pos") <= F.col("lead_last")
-    head = with_lead.where(in_first).select(*records.columns, F.lit(1).cast("bigint").alias("shard_sequence"))
-    tail = (
-        with_lead.where(~in_first)
-        .select(*records.columns, block_of(F.col("pos")).alias(block))
-        .join(opened.where(F.col("after_pos").isNotNull()), ["source_id", block])
-        .where((F.col("pos") > F.col("after_pos")) & (F.col("pos") <= F.col("last_pos")))
+    opened = opened.select("source_id", block, "since", "last_pos", "shard_sequence")
+    placed = records.join(spans, "source_id").withColumn(block, block_of(F.col("pos")))
+    after = F.col("since").isNull() | (F.col("pos") > F.col("since"))
+    return (
+        placed.join(opened, ["source_id", block])
+        .where(after & (F.col("pos") <= F.col("last_pos")))
         .select(*records.columns, "shard_sequence")
     )
-    return head.unionByName(tail)
 
 
 # --- cutting -----------------------------------------------------------------

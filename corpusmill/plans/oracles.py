@@ -46,11 +46,11 @@ kept AS (SELECT * FROM offs WHERE end_offset <= {QUOTA})"""
 
 WALK = f"""
 walk(source_id, n, border) AS (
-  SELECT DISTINCT source_id, 0, CAST(0 AS BIGINT) FROM kept
+  SELECT DISTINCT source_id, 0, CAST(0 AS BIGINT) FROM offs
   UNION ALL
   SELECT source_id, n + 1, border FROM (
     SELECT w.source_id, w.n,
-      (SELECT min(k.end_offset) FROM kept k
+      (SELECT min(k.end_offset) FROM offs k
        WHERE k.source_id = w.source_id AND k.end_offset >= w.border + {TARGET}) AS border
     FROM walk w)
   WHERE border IS NOT NULL
@@ -59,7 +59,7 @@ assigned AS (
   SELECT k.source_id, k.pos, k.size, k.end_offset, k.record_index, k.payload,
     1 + (SELECT count(*) FROM walk w
          WHERE w.source_id = k.source_id AND w.n > 0 AND w.border < k.end_offset) AS shard_sequence
-  FROM kept k
+  FROM offs k
 ),
 shards AS (
   SELECT source_id, shard_sequence, CAST(sum(size) AS BIGINT) AS size_bytes,
@@ -350,14 +350,14 @@ ORACLES: dict[str, str] = {
         select=f"""SELECT 'run-' || r.source_id AS run_id, r.source_id, '{VERSION}' AS version_id,
           CAST(to_json({{
             'checksum_algorithm': 'SHA-256',
-            'completed_at': CASE WHEN enabled THEN '2026-07-14 11:00:00' END,
+            'completed_at': CASE WHEN enabled THEN '2025-02-03 11:00:00' END,
             'run_id': 'run-' || r.source_id,
             'shards': coalesce(l.shards, []),
             'source': {{'source_type': source_type, 'source_uri': source_url,
               'license_name': license_name, 'license_url': license_url, 'notes': notes,
               'dataset_id': dataset_id, 'dataset_config': dataset_config}},
             'source_id': r.source_id,
-            'started_at': '2026-07-14 10:30:00',
+            'started_at': '2025-02-03 10:30:00',
             'status': CASE WHEN enabled THEN 'COMPLETED' ELSE 'PAUSED' END,
             'total_downloaded_bytes': coalesce(l.bytes, 0),
             'total_shards': coalesce(l.n, 0),
@@ -460,11 +460,10 @@ ORACLES: dict[str, str] = {
             CAST(sum(size_bytes) OVER (PARTITION BY s.source_id ORDER BY shard_sequence) AS BIGINT) AS verified_bytes
           FROM shards s JOIN registry r USING (source_id))""",
     ),
-    "nonempty_sources": _with(
-        SIZED,
-        select="""SELECT source_id, 'source produced no records: ' || source_id AS problem
-        FROM offs WHERE record_index = 1 AND end_offset > 1000""",
-    ),
+    "nonempty_sources": """
+        SELECT DISTINCT 'role-' || role AS source_id,
+          'source produced no records: role-' || role AS problem
+        FROM conversations""",
     "run_outcome": _with(
         *SHARDS,
         REGISTRY,

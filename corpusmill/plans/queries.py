@@ -1,7 +1,7 @@
 """Registered queries: every operator over the given tables.
 
-Sizes are small so that small tables give several shards and blocks; they are the only
-thing that would change for a large corpus.
+Sizes are small so that small tables give several shards and blocks. The byte quota holds
+in the queries about quotas and cursors only; all others work on every document.
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ TARGET = 16_384
 MAXIMUM = 32_768
 SEQUENCE_LENGTH = 32
 VOCAB_SIZE = 4096
-VERSION = "2026-07-14T10-30-00Z-ab12cd34"
-DATE = "2026-07-14"
+VERSION = "2025-02-03T04-05-06Z-0f1e2d3c"
+DATE = "2025-02-03"
 STATUS_OF_EVENT = {
     "signup": "PENDING",
     "view": "RUNNING",
@@ -84,7 +84,7 @@ def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def borders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(sharding.shard_borders(kept(spark, sf_dir), TARGET, MAXIMUM), "borders")
+    return stage(sharding.shard_borders(sized(spark, sf_dir), TARGET, MAXIMUM), "borders")
 
 
 def tagged(spark: SparkSession, sf_dir: str, edges: DataFrame) -> DataFrame:
@@ -316,7 +316,7 @@ def source_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shard_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_assign(kept(spark, sf_dir), TARGET, MAXIMUM)
+    return sharding.shard_assign(sized(spark, sf_dir), TARGET, MAXIMUM)
 
 
 def oversize_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -562,8 +562,8 @@ def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_id",
         F.lit(VERSION).alias("version_id"),
         F.when(F.col("enabled"), "COMPLETED").otherwise("PAUSED").alias("status"),
-        F.lit("2026-07-14 10:30:00").alias("started_at"),
-        F.when(F.col("enabled"), "2026-07-14 11:00:00").alias("completed_at"),
+        F.lit("2025-02-03 10:30:00").alias("started_at"),
+        F.when(F.col("enabled"), "2025-02-03 11:00:00").alias("completed_at"),
     )
     sources = entries.withColumnsRenamed({"source_url": "source_uri", "notes": "source_notes"})
     return manifest.manifest_json(manifest.run_manifest(runs, sources, shards))
@@ -642,9 +642,10 @@ def progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nonempty_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Only sources whose first record fits a quota of 1,000 bytes get a shard.
-    small = sharding.shard_borders(quota.quota_prefix(sized(spark, sf_dir), 1_000), TARGET, MAXIMUM)
-    return control.empty_sources(source_registry(spark, sf_dir), committed(small))
+    # Roles of conversations are registered as sources too, but have no shards.
+    roles = read(spark, sf_dir, "conversations").select(F.concat(F.lit("role-"), "role")).distinct()
+    named = source_registry(spark, sf_dir).select("source_id").union(roles)
+    return control.empty_sources(named, shard_rows(spark, sf_dir))
 
 
 def run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,14 +33,14 @@ def dataset_records(
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet dataset whose texts are to be worked on by all cores.
+    """A parquet dataset of texts, scanned with the split sizes of the caller's session.
 
-    A scan has at most one task per row group. Where that is fewer than there are cores,
-    the rows are dealt out first; a large dataset is left as it is.
+    A file of a single row group, which no split size can divide, is dealt out once; it is
+    at most one task's work. Anything with more than one scan task is left as it is.
     """
     rows = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    alone = rows.rdd.getNumPartitions() == 1
+    return rows.repartition(spark.sparkContext.defaultParallelism) if alone else rows
 
 
 def read_numbered(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:

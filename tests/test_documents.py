@@ -89,3 +89,9 @@ def test_the_last_document_validates(spark):
     assert {r["doc_id"] for r in rows} == {5, 3}
     with pytest.raises(ValueError, match="at least two"):
         documents.require_split(df.limit(1))
+
+
+def test_split_keeps_rows_without_a_group(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "g string, n long")
+    found = {(r["g"], r["n"]): r["split"] for r in documents.split_last(rows, "n", ["g"]).collect()}
+    assert found == {("a", 1): "train", ("a", 2): "validation", (None, 3): "validation"}

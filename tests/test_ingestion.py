@@ -136,7 +136,7 @@ def test_cursors_round_trip():
 
 def committer(spark, folder, pause=None):
     return ShardCommitter(
-        spark, f"{folder}/objects", f"{folder}/committed", "run1", "v1", "2026-07-14", 50, pause
+        spark, f"{folder}/objects", f"{folder}/committed", "run1", "v1", "2025-02-03", 50, pause
     )
 
 

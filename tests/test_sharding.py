@@ -169,3 +169,24 @@ def test_bounds(spark):
     for target, maximum in ((0, 5), (6, 5), (-1, 5)):
         with pytest.raises(ValueError, match="shard sizes"):
             sharding.check_bounds(target, maximum)
+
+
+def test_join_and_search_agree_on_borders_of_a_later_wave(spark, monkeypatch):
+    sources = random_sources(12)
+    sized = table(spark, sources)
+    # A second source whose positions lie far apart must not widen the blocks of the first.
+    far = sized.select(
+        F.concat(F.lit("far-"), "source_id").alias("source_id"),
+        *[(F.col(c) * 1_000_003).alias(c) if c == "pos" else c for c in sized.columns if c != "source_id"],
+    )
+    sized = stage(sized.unionByName(far), "sized")
+    every = stage(sharding.shard_borders(sized, 70), "borders")
+    for first in (1, 3):
+        borders = stage(every.where(F.col("shard_sequence") >= first), "later")
+        found = []
+        for limit in (sharding.SEARCHED_SHARDS, -1):
+            monkeypatch.setattr(sharding, "SEARCHED_SHARDS", limit)
+            rows = sharding.tag_shards(sized, borders).select("source_id", "pos", "shard_sequence")
+            found.append(sorted(map(tuple, rows.collect())))
+        monkeypatch.undo()
+        assert found[0] == found[1] and found[0]

@@ -153,3 +153,11 @@ def test_perplexity_is_weighted_by_tokens(spark):
     with pytest.raises(PySparkException, match="no loss"):
         nulls = spark.createDataFrame([(None, 1)], "loss double, items int")
         evaluation.weighted_perplexity(nulls).collect()
+
+
+@pytest.mark.parametrize("kept", [1, 2, 7])
+def test_few_kept_pairs_do_not_end_the_training(spark, monkeypatch, kept):
+    rows = spark.createDataFrame([("low lower lowest new newer newest wide wider widest",)] * 3, "text string")
+    whole = bpe.train_bpe(rows, vocab_size=40)
+    monkeypatch.setattr(bpe, "_KEPT_PAIRS", kept)
+    assert bpe.train_bpe(rows, vocab_size=40) == whole

@@ -8,7 +8,7 @@ words and word beginnings, hashed, and scaled by their log-odds in the training
 The models are fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``, the smallest
 hashes of their ids); every document is scored.
 
-Defined results: a NULL or empty text has no features and is not toxic; NULL ids and
+Defined results: a text without words has no features and chance 0; NULL ids and
 labels take no part in training; of repeated labels the largest counts; without both
 classes of a category its probability is the share seen (0 without labels); rows with
 equal ids are each scored; other columns are not read.
@@ -34,8 +34,9 @@ BEGINNINGS = (4, 5, 6)
 
 def feature_numbers(text: Column, size: int = FEATURES) -> Column:
     """Distinct hashed features: words, and the first characters of longer words."""
-    words = F.array_distinct(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"))
-    parts = [F.transform(words, lambda w: w)]
+    words = F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+")
+    words = F.array_remove(F.array_distinct(words), "")
+    parts = [words]
     for n in BEGINNINGS:
         longer = F.filter(words, lambda w, n=n: F.char_length(w) > n)
         parts.append(F.transform(longer, lambda w, n=n: F.concat(F.lit(f"^{n}"), F.substring(w, 1, n))))
@@ -171,7 +172,8 @@ def score(docs: DataFrame, models: list[Linear], names: Sequence[str], text_col:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chances = chain_chances(shared.value, _rows_of(batch.column("__features")))
+            rows = _rows_of(batch.column("__features"))
+            chances = chain_chances(shared.value, rows) * (rows.counts > 0)[:, None]
             own = [batch.column(c) for c in kept] + [pa.array(chances[:, k]) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(own, [*kept, *[f"p_{n}" for n in names]])
 

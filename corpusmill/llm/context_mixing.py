@@ -45,7 +45,7 @@ FIRST_WEIGHTS = (
     (0.8, 0.8, 0.75, 0.6, 0.5, 0.7),
     (0.5, 0.3, 0.4, 0.4, 0.45, 0.3),
 )
-SALT = 64
+FAN_IN = 64  # tasks whose counts are added in a first step
 
 
 def held_out_remainder(id_col: str) -> Column:
@@ -356,7 +356,7 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for slot, table in zip(found.slots, own, strict=True):
                 table += np.bincount(slot * np.uint32(2) + found.bit, minlength=len(table)).astype(np.int32)
         if used:
-            salt = TaskContext.get().partitionId() % SALT
+            salt = TaskContext.get().partitionId() // FAN_IN
             sums = {}
             for part, table in enumerate(own):
                 both = table.reshape(-1, CHUNK, 2)
@@ -390,29 +390,35 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             there = names[at] == hashes if len(names) else np.zeros(len(fresh), bool)
             known.update((w, int(a)) for w, a, t in zip(fresh, at, there, strict=True) if t)
             rare = {w: int(h) for w, h, t in zip(fresh, hashes, there, strict=True) if not t}
-            sums, seen, left = [], [], []
+            sums, seen, left, left_n = [], [], [], []
             for t in texts:
                 found = np.fromiter((known.get(w, -1) for w in t), np.int64, len(t))
                 head_at = found[found >= 0]
                 sums.append(float(logs[head_at].sum()) if len(head_at) else 0.0)
                 seen.append(len(head_at))
-                left.append([rare[w] for w, a in zip(t, found.tolist(), strict=True) if a < 0])
+                others = [rare[w] for w, a in zip(t, found.tolist(), strict=True) if a < 0]
+                others, times = np.unique(np.array(others, np.int64), return_counts=True)
+                left.append(others)
+                left_n.append(times)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                  pa.array([k[2] for k in keys], pa.bool_()), pa.array([len(t) + 1 for t in texts], pa.int64()),
                  pa.array([len(t) + 1 for t in joined], pa.int64()), pa.array(scores, pa.float64()),
-                 pa.array(sums, pa.float64()), pa.array(seen, pa.int64()), pa.array(left, pa.list_(pa.int64()))],
-                ["row", "id", "held_out", "n_tokens", "bytes", "score", "head_sum", "head_n", "rare"],
+                 pa.array(sums, pa.float64()), pa.array(seen, pa.int64()), pa.array(left, pa.list_(pa.int64())),
+                 pa.array(left_n, pa.list_(pa.int64()))],
+                ["row", "id", "held_out", "n_tokens", "bytes", "score", "head_sum", "head_n", "rare", "rare_times"],
             )
 
-    shape = "row long, id long, held_out boolean, n_tokens long, bytes long, score double, head_sum double, head_n long, rare array<long>"
+    shape = "row long, id long, held_out boolean, n_tokens long, bytes long, score double, head_sum double, head_n long"
+    shape += ", rare array<long>, rare_times array<long>"
     read_rows = stage(rows.mapInArrow(read, shape), "scored")
-    # Words of a small share, counted per text before they meet the corpus counts.
-    rare = read_rows.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("n"))
+    # Words of a small share, each once per text, meet the corpus counts.
+    own_words = F.explode(F.arrays_zip("rare", "rare_times")).alias("own")
+    rare = read_rows.select("row", own_words).select("row", F.col("own.rare").alias("word"), F.col("own.rare_times").alias("n"))
     seen = rare.join(words.where(F.col("c") < often), "word").groupBy("row").agg(
         F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("rare_sum"), F.sum("n").alias("rare_n")
     )
-    joined = read_rows.drop("rare").join(seen, "row", "left")
+    joined = read_rows.drop("rare", "rare_times").join(seen, "row", "left")
     none = F.lit(0)
     return joined.select(
         "id",

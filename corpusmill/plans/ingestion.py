@@ -36,7 +36,7 @@ from corpusmill.schemas import (
 )
 from corpusmill.sources import shards as shard_files
 from corpusmill.sources.datasets import dataset_records, read_numbered
-from corpusmill.sources.lines import scan_lines
+from corpusmill.sources.lines import require_one_file, scan_lines
 from corpusmill.sources.manifests import manifest_records
 
 # Positions of two-level sources: file index above, record index below.
@@ -189,6 +189,7 @@ def source_records(spark: SparkSession, source: Row, settings: Settings) -> Data
                 rows = rows.where(F.col(column) == value)
         return dataset_records(rows, name, F.col("pos"))
     if kind in ("filesystem", "http_lines"):
+        require_one_file(spark, source["source_url"])
         lines = scan_lines(spark, source["source_url"])
         return lines.select(name.alias("source_id"), F.col("end_offset").alias("pos"), "payload")
     if kind == "dolma_manifest":

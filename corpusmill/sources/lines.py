@@ -13,6 +13,9 @@ from corpusmill.functions.text import without_line_end
 from corpusmill.operators.prefix import totals_before
 from corpusmill.plans.staging import broadcast_if_small, stage
 
+_MARK = b"\xef\xbb\xbf"
+_COMPRESSED = r"\.(gz|bz2|zst|zstd|deflate|lz4|snappy)$"
+
 
 def scan_lines(
     spark: SparkSession, paths: str | list[str], whole_files: bool = False
@@ -25,11 +28,16 @@ def scan_lines(
     tasks: lines are counted inside a split as they stream by, and the totals of the
     earlier splits are added. ``whole_files`` says that no file is split (gzip), which
     saves the pass that adds up the splits; offsets are then those of the plain bytes.
+    Without it a compressed file is an error, as its size says nothing about its lines.
+
+    The text reader drops a byte order mark at the start of a file. Lines that add up to
+    less than the file show it; the mark is put back before the first line (a file of a
+    mark alone has no lines).
     """
     lines = _raw_lines(spark, paths)
     key = F.xxhash64("file", "split_start")
     counted = lines.withColumn("within", _count_in_split(key, F.octet_length("raw")))
-    records, end = F.col("within.records"), F.col("within.bytes")
+    records, end, payload = F.col("within.records"), F.col("within.bytes"), F.col("raw")
     if not whole_files:
         per_split = (
             _raw_lines(spark, paths)
@@ -39,23 +47,34 @@ def scan_lines(
                 F.sum((F.octet_length("raw") + 1).cast("bigint")).alias("bytes"),
             )
         )
+        per_split = stage(per_split, "splits")
         # A window over the splits of one file: a few rows per gigabyte.
-        before = totals_before(
-            stage(per_split, "splits"), ["file"], "split_start", ["records", "bytes"], levels=1
-        )
-        before = broadcast_if_small(stage(before, "split_offsets"))
+        before = totals_before(per_split, ["file"], "split_start", ["records", "bytes"], levels=1)
+        per_file = per_split.groupBy("file").agg(F.sum("bytes").alias("file_bytes"))
+        before = broadcast_if_small(stage(before.join(per_file, "file"), "split_offsets"))
         counted = counted.join(before, ["file", "split_start"])
         records = records + F.col("__before_records")
+        problem = F.raise_error(F.concat(F.lit("a compressed file has no line offsets: "), F.col("file")))
+        plain = F.when(F.lower("file").rlike(_COMPRESSED), problem.cast("bigint")).otherwise(F.col("file_size"))
+        marked = F.col("file_bytes") < F.col("file_size")
         # The last line may lack its line feed.
-        end = F.least(end + F.col("__before_bytes"), F.col("file_size"))
+        end = F.least(end + F.col("__before_bytes") + F.when(marked, len(_MARK)).otherwise(0), plain)
+        payload = F.when(marked & (records == 1), F.concat(F.lit(_MARK), payload)).otherwise(payload)
     return counted.select(
         "file",
         records.alias("record_index"),
         end.alias("end_offset"),
-        without_line_end(F.col("raw")).alias("payload"),
+        without_line_end(payload).alias("payload"),
     )
 
 
+def require_one_file(spark: SparkSession, paths: str | list[str]) -> None:
+    """One byte offset can stand for one file only."""
+    files = spark.read.text(paths).inputFiles()
+    if len(files) > 1:
+        raise ValueError(f"a byte offset needs a source of one file, found {len(files)}: {paths}")
+
+
 def resume_lines(lines: DataFrame, byte_offset: int) -> DataFrame:
     """The lines after a saved byte offset."""
     return lines.where(F.col("end_offset") > byte_offset)

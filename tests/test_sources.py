@@ -9,7 +9,7 @@ from corpusmill.functions.text import json_payload
 from corpusmill.operators.quota import resume_after_file
 from corpusmill.sources.datasets import dataset_records, read_numbered, text_payload
 from corpusmill.sources.files import PendingObject
-from corpusmill.sources.lines import resume_lines, scan_lines
+from corpusmill.sources.lines import require_one_file, resume_lines, scan_lines
 from corpusmill.sources.manifests import manifest_entries, manifest_records
 
 
@@ -35,6 +35,8 @@ def scanned(df):
         b"one\r\n\r\ntwo\r\r\n\nlast line without end",
         b"\xff\xfe broken \xe2\r\nlone\rreturn\n\xe2\x80\xa8 separator\n",
         b"\n\n\n",
+        b"\xef\xbb\xbfone\ntwo\n",
+        b"\xef\xbb\xbf\r\n\xef\xbb\xbftwo\nlast line without end",
     ],
 )
 def test_lines_keep_bytes_offsets_and_numbers(spark, folder, body):
@@ -60,6 +62,24 @@ def test_a_split_file_is_numbered_like_a_whole_one(spark, folder):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_compressed_lines_have_no_offsets(spark, folder):
+    path = f"{folder}/source.txt.gz"
+    with gzip.open(path, "wb") as handle:
+        handle.writelines(b"line %d\n" % i for i in range(100))
+    with pytest.raises(PySparkException, match="compressed file"):
+        scan_lines(spark, path).collect()
+    assert scan_lines(spark, path, whole_files=True).count() == 100
+
+
+def test_a_byte_offset_needs_one_file(spark, folder):
+    for name in ("a", "b"):
+        with open(f"{folder}/{name}.txt", "wb") as handle:
+            handle.write(b"one\ntwo\n")
+    require_one_file(spark, f"{folder}/a.txt")
+    with pytest.raises(ValueError, match="one file, found 2"):
+        require_one_file(spark, folder)
+
+
 def test_many_files_in_one_task_are_numbered_apart(spark, folder):
     for i in range(9):
         with open(f"{folder}/f{i}.txt", "wb") as handle:

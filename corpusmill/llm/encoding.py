@@ -95,29 +95,31 @@ class PieceEncoder:
 
     def _learn(self) -> None:
         """Encode the pieces that got a number but have no ids yet."""
-        known, simple = self._known, []
+        known, spaced, bare, others = self._known, [], [], []
         made, parts_of, sizes = [], [], []
         while known.fresh:
             fresh, known.fresh = known.fresh, []
             for p in fresh:
-                # Parts are looked up like pieces, so new ones join ``fresh``.
-                parts = _parts(p)
-                if len(parts) > 1:
-                    made.append(known[p])
-                    parts_of.extend(known[x] for x in parts)
-                    sizes.append(len(parts))
+                if p[-1] in ".," or "\n" in p:
+                    # Parts are looked up like pieces, so new ones join ``fresh``.
+                    parts = _parts(p)
+                    if len(parts) > 1:
+                        made.append(known[p])
+                        parts_of.extend([known[x] for x in parts])
+                        sizes.append(len(parts))
+                        continue
+                # White space at the borders: none, one space in front, or more.
+                lost = len(p) - len(p.strip())
+                if lost == 0:
+                    bare.append(p)
+                elif lost == 1 and p[0] == " " and len(p) > 1:
+                    spaced.append(p)
                 else:
-                    simple.append(p)
+                    others.append(p)
         self._starts = _grown(self._starts, known.size)
         self._counts = _grown(self._counts, known.size)
-        spaced, bare = [], []
-        for p in simple:
-            if p[0] == " " and len(p) > 1 and not (p[1].isspace() or p[-1].isspace()):
-                spaced.append(p)
-            elif not (p[0].isspace() or p[-1].isspace()):
-                bare.append(p)
-            else:
-                self._keep([p], self._plain_ids(p), "")
+        for p in others:
+            self._keep([p], self._plain_ids(p), "")
         for k in range(0, len(spaced), JOINED):
             self._keep(block := spaced[k : k + JOINED], self._plain_ids("".join(block)), "")
         for k in range(0, len(bare), JOINED):

@@ -141,8 +141,9 @@ def read_token_files(spark: SparkSession, parts: DataFrame, root: str) -> DataFr
             )
 
     placed = part_starts(parts)
-    # One row per part, dealt out so that parts are read in parallel.
-    spread = placed.repartition("part")
+    # One row per part, dealt out so that parts are read in parallel; without a number the
+    # few bytes would be put back into one task.
+    spread = placed.repartition(max(1, parts.count()), "part")
     return spread.mapInArrow(read, schema)
 
 

@@ -45,6 +45,7 @@ FIRST_WEIGHTS = (
     (0.8, 0.8, 0.75, 0.6, 0.5, 0.7),
     (0.5, 0.3, 0.4, 0.4, 0.45, 0.3),
 )
+SYMBOLS_COUNTED = 1 << 16  # symbols of a batch whose decisions are counted at once
 FAN_IN = 64  # tasks whose counts are added in a first step
 
 
@@ -85,44 +86,51 @@ class Codes:
                 nodes += [n for n, _ in reversed(path)]
                 bits += [b for _, b in reversed(path)]
         self.sizes = np.array(sizes, np.int32)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.nodes, self.bits = np.array(nodes, np.uint32), np.array(bits, np.uint8)
+        self.starts = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
+        # Per decision on a path: its bit, its node's hash and its node's own prediction.
+        at = np.array(nodes, np.uint32)
         chance = np.array(chances)
-        self.stretched = np.log(chance / (1 - chance)).astype(np.float32)
+        self.bits, self.steps = np.array(bits, np.uint8), at * np.uint32(0x9E3779B1)
+        self.stretched = np.log(chance / (1 - chance)).astype(np.float32)[at]
 
 
-class Decisions:
-    """The binary decisions of a batch of texts, and the slots of their contexts."""
+class Symbols:
+    """The symbols of a batch of texts, with a hash per context."""
 
     def __init__(self, texts: list[bytes], codes: Codes) -> None:
-        lengths = np.array([len(t) + 1 for t in texts])
-        ends = np.cumsum(lengths)
+        self._codes = codes
+        self.lengths = np.array([len(t) + 1 for t in texts])
+        ends = np.cumsum(self.lengths)
         total = int(ends[-1])
-        symbols = np.full(total, END, np.int64)
+        symbols = np.full(total, END, np.int32)
         inside = np.ones(total, bool)
         inside[ends - 1] = False
         symbols[inside] = np.frombuffer(b"".join(texts), np.uint8)
-        starts = np.repeat(ends - lengths, lengths)
-        place = np.arange(total) - starts
-        before = _shifted(symbols, place, 1)
-        pair = before * SYMBOLS + symbols
-        sizes = codes.sizes[pair]
-        upto = np.cumsum(sizes)
-        self.count = int(upto[-1])
-        self.docs = len(texts)
-        self.doc_ends = upto[ends - 1]
-        path = np.repeat((codes.starts[pair] - (upto - sizes)).astype(np.int32), sizes)
-        path += np.arange(self.count, dtype=np.int32)
-        self.node, self.bit = codes.nodes[path], codes.bits[path]
-        step = self.node * np.uint32(0x9E3779B1)
-        self.slots = []
-        for order in ORDERS:
-            hashed = _word_hash(symbols, before, starts) if order == "word" else _order_hash(symbols, place, order)
-            slot = np.repeat(hashed, sizes)
+        starts = np.repeat(ends - self.lengths, self.lengths)
+        self.place = np.arange(total) - starts
+        before = _shifted(symbols, self.place, 1)
+        self.pair = before * np.int32(SYMBOLS) + symbols
+        self.hashes = [
+            _word_hash(symbols, before, starts) if order == "word" else _order_hash(symbols, self.place, order)
+            for order in ORDERS
+        ]
+
+    def decisions(self, at: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Of the symbols ``at``: decisions each, their places on the paths, their slots."""
+        pair = self.pair[at]
+        sizes = self._codes.sizes[pair]
+        upto = np.cumsum(sizes, dtype=np.int32)
+        path = np.repeat(self._codes.starts[pair] - upto + sizes, sizes)
+        path += np.arange(len(path), dtype=np.int32)
+        step = self._codes.steps.take(path)
+        slots = []
+        for hashed in self.hashes:
+            slot = np.repeat(hashed[at], sizes)
             slot ^= step
             slot *= np.uint32(0x85EBCA6B)
             slot >>= np.uint32(32 - SLOT_BITS)
-            self.slots.append(slot)
+            slots.append(slot)
+        return sizes, path, slots
 
 
 def _shifted(symbols: np.ndarray, place: np.ndarray, by: int) -> np.ndarray:
@@ -170,10 +178,10 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def _schedule(longest: int) -> np.ndarray:
-    """Where the blocks of a text end: they grow from 64 to 4,096 decisions."""
-    out, size = [64], 64
+    """Where the blocks of a text end: they grow from 16 to 1,024 symbols."""
+    out, size = [16], 16
     while out[-1] < longest:
-        size = min(size * 2, 4096)
+        size = min(size * 2, 1024)
         out.append(out[-1] + size)
     return np.array(out)
 
@@ -184,44 +192,49 @@ class Mixer:
     def __init__(self, codes: Codes, counts: list[tuple[np.ndarray, np.ndarray]]) -> None:
         self.codes = codes
         self.tables = [np.log((one + 0.4) / (zero + 0.4)).astype(np.float32) for zero, one in counts]
+        # The gate of a slot is in the three lowest bits of the word context's prediction.
         seen = counts[-1][0].astype(np.int64) + counts[-1][1]
-        self.gates = np.searchsorted(GATE_COUNTS, seen, "right").astype(np.uint8)
+        last = self.tables[-1].view(np.uint32)
+        last &= np.uint32(0xFFFFFFF8)
+        last |= np.searchsorted(GATE_COUNTS, seen, "right").astype(np.uint32)
 
     def log10(self, texts: list[bytes]) -> np.ndarray:
         """The log10 probability of each text."""
-        own = Decisions(texts, self.codes)
-        inputs = [self.codes.stretched[own.node], *[t[s] for t, s in zip(self.tables, own.slots, strict=True)]]
-        sizes = np.diff(own.doc_ends, prepend=0)
-        doc = np.repeat(np.arange(own.docs, dtype=np.int32), sizes)
+        own = Symbols(texts, self.codes)
         gates = len(GATE_COUNTS) + 1
-        cell = doc * np.int32(gates) + self.gates[own.slots[-1]]
-        inner = np.arange(own.count) - np.repeat(own.doc_ends - sizes, sizes)
-        edges = _schedule(int(sizes.max()))
-        block = np.searchsorted(edges, inner, "right").astype(np.uint16)
+        doc = np.repeat(np.arange(len(texts), dtype=np.int32), own.lengths)
+        edges = _schedule(int(own.lengths.max()))
+        block = np.searchsorted(edges, own.place, "right").astype(np.min_scalar_type(len(edges)))
         order = np.argsort(block, kind="stable")
-        inputs = [x[order] for x in inputs]
-        cell, bit = cell[order], own.bit[order].astype(np.float32)
-        stops = np.cumsum(np.bincount(block, minlength=len(edges)))
-        weights = np.tile(np.array(FIRST_WEIGHTS, np.float32), (1, own.docs))
-        logs = np.empty(own.count, np.float32)
+        weights = np.tile(np.array(FIRST_WEIGHTS, np.float32), (1, len(texts)))
+        total = np.zeros(len(texts))
         begin = 0
-        for stop in stops.tolist():
-            if stop > begin:
-                part = slice(begin, stop)
-                cells = cell[part]
-                low = int(cells.min()) // gates * gates
-                cells = cells - low
-                top = int(cells.max()) + 1
-                mixed = sum(w[low : low + top][cells] * x[part] for w, x in zip(weights, inputs, strict=True))
-                np.clip(mixed, -14, 14, out=mixed)
-                chance = 1 / (1 + np.exp(-mixed))
-                error = bit[part] - chance
-                logs[part] = np.log(1 - np.abs(error))
-                held = np.bincount(cells, minlength=top) + 24
-                for w, x in zip(weights, inputs, strict=True):
-                    w[low : low + top] += (RATE * np.bincount(cells, error * x[part], top) / held).astype(np.float32)
+        # One block of every text at a time: the weights are refined between blocks.
+        for stop in np.cumsum(np.bincount(block)).tolist():
+            if stop == begin:
+                continue
+            at = order[begin:stop]
+            sizes, path, slots = own.decisions(at)
+            inputs = [self.codes.stretched.take(path), *[t.take(s) for t, s in zip(self.tables, slots, strict=True)]]
+            bit = self.codes.bits.take(path).astype(np.float32)
+            whose = doc[at]
+            low = int(whose[0])
+            docs = int(whose[-1]) - low + 1
+            cells = np.repeat((whose - np.int32(low)) * np.int32(gates), sizes)
+            cells += (inputs[-1].view(np.uint32) & np.uint32(7)).view(np.int32)
+            span, top = slice(low * gates, (low + docs) * gates), docs * gates
+            mixed = sum(w[span].take(cells) * x for w, x in zip(weights, inputs, strict=True))
+            np.clip(mixed, -14, 14, out=mixed)
+            error = bit - 1 / (1 + np.exp(-mixed))
+            logs = np.log(1 - np.abs(error))
+            # The texts of a block stand one after another.
+            opens = np.flatnonzero(np.diff(whose, prepend=-1))
+            total[whose[opens]] += np.add.reduceat(logs, (np.cumsum(sizes) - sizes)[opens])
+            held = np.bincount(cells, minlength=top) + 24
+            for w, x in zip(weights, inputs, strict=True):
+                w[span] += (RATE * np.bincount(cells, error * x, top) / held).astype(np.float32)
             begin = stop
-        return np.bincount(cell // gates, logs, own.docs) / np.log(10)
+        return total / np.log(10)
 
 
 # --- on DataFrames --------------------------------------------------------------------
@@ -238,10 +251,10 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[lis
         columns = [batch.column(k).to_pylist() for k in range(batch.num_columns - 1)]
         named = zip(*columns, strict=True) if columns else repeat((), batch.num_rows)
         for key, text in zip(named, batch.column(batch.num_columns - 1), strict=True):
-            own = _words(text.as_py())
+            text = text.as_py()
             keys.append(key)
-            texts.append(own)
-            size += len(text.as_py())
+            texts.append(_words(text))
+            size += len(text) + 16  # many empty texts fill a batch as well
             if size >= BATCH_BYTES:
                 yield keys, texts
                 keys, texts, size = [], [], 0
@@ -352,9 +365,12 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         used = False
         for _, texts in _batches(batches):
             used = True
-            found = Decisions([b" ".join(t) for t in texts], codes.value)
-            for slot, table in zip(found.slots, own, strict=True):
-                table += np.bincount(slot * np.uint32(2) + found.bit, minlength=len(table)).astype(np.int32)
+            found = Symbols([b" ".join(t) for t in texts], codes.value)
+            for k in range(0, len(found.pair), SYMBOLS_COUNTED):
+                _, path, slots = found.decisions(slice(k, k + SYMBOLS_COUNTED))
+                bit = codes.value.bits[path]
+                for slot, table in zip(slots, own, strict=True):
+                    np.add.at(table, (slot * np.uint32(2) + bit).astype(np.intp), np.ones(len(bit), np.int32))
         if used:
             salt = TaskContext.get().partitionId() // FAN_IN
             sums = {}

@@ -19,7 +19,7 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -240,6 +240,14 @@ class Mixer:
 # --- on DataFrames --------------------------------------------------------------------
 
 
+class _Numbers(dict):
+    """Numbers words in the order they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 def _words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
@@ -393,35 +401,34 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
-        names, numbers = head.value
-        logs = np.log10(numbers + 1.0)
-        known: dict[bytes, int] = {}
+        names, often_n = head.value
+        logs = np.log10(often_n + 1.0)
         for keys, texts in _batches(batches):
             joined = [b" ".join(t) for t in texts]
             scores = mixer.value.log10(joined)
-            flat = [w for t in texts for w in t]
-            fresh = list(set(flat).difference(known))
-            hashes = np.fromiter(map(xxh64_intdigest, fresh, repeat(42)), np.uint64, len(fresh)).view(np.int64)
-            at = np.minimum(np.searchsorted(names, hashes), max(len(names) - 1, 0))
-            there = names[at] == hashes if len(names) else np.zeros(len(fresh), bool)
-            known.update((w, int(a)) for w, a, t in zip(fresh, at, there, strict=True) if t)
-            rare = {w: int(h) for w, h, t in zip(fresh, hashes, there, strict=True) if not t}
-            sums, seen, left, left_n = [], [], [], []
-            for t in texts:
-                found = np.fromiter((known.get(w, -1) for w in t), np.int64, len(t))
-                head_at = found[found >= 0]
-                sums.append(float(logs[head_at].sum()) if len(head_at) else 0.0)
-                seen.append(len(head_at))
-                others = [rare[w] for w, a in zip(t, found.tolist(), strict=True) if a < 0]
-                others, times = np.unique(np.array(others, np.int64), return_counts=True)
-                left.append(others)
-                left_n.append(times)
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            numbers = _Numbers()
+            word = np.fromiter(map(numbers.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
+            hashes = np.fromiter(map(xxh64_intdigest, numbers, repeat(42)), np.uint64, len(numbers)).view(np.int64)
+            there, value = np.zeros(len(hashes), bool), np.zeros(len(hashes))
+            if len(names):
+                at = np.minimum(np.searchsorted(names, hashes), len(names) - 1)
+                there = names[at] == hashes
+                value = np.where(there, logs[at], 0.0)
+            doc = np.repeat(np.arange(len(texts)), sizes)
+            others = ~there[word]
+            # Each other word once per text, with its count; texts in their order.
+            distinct = max(1, len(hashes))
+            left, times = np.unique(doc[others] * distinct + word[others], return_counts=True)
+            ends = np.searchsorted(left, np.arange(len(texts) + 1) * distinct).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                 pa.array([k[2] for k in keys], pa.bool_()), pa.array([len(t) + 1 for t in texts], pa.int64()),
+                 pa.array([k[2] for k in keys], pa.bool_()), pa.array(sizes + 1),
                  pa.array([len(t) + 1 for t in joined], pa.int64()), pa.array(scores, pa.float64()),
-                 pa.array(sums, pa.float64()), pa.array(seen, pa.int64()), pa.array(left, pa.list_(pa.int64())),
-                 pa.array(left_n, pa.list_(pa.int64()))],
+                 pa.array(np.bincount(doc, value[word], len(texts))),
+                 pa.array(sizes - np.bincount(doc[others], minlength=len(texts))),
+                 pa.ListArray.from_arrays(ends, pa.array(hashes[left % distinct], pa.int64())),
+                 pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))],
                 ["row", "id", "held_out", "n_tokens", "bytes", "score", "head_sum", "head_n", "rare", "rare_times"],
             )
 

@@ -33,13 +33,17 @@ NUMBERED_ROWS = 100_000  # pieces of one length that are numbered together, abou
 
 
 def token_pieces(
-    docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_col: str, text_col: str
+    docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_col: str, text_col: str,
+    added_tokens: bool = False,
 ) -> DataFrame:
-    """``id, piece, start, length, ids_crc32`` of every piece of every document."""
+    """``id, piece, start, length, ids_crc32`` of every piece of every document.
+
+    With ``added_tokens`` the vocabulary's added tokens are recognised, else plain text.
+    """
     schema = "id long, piece int, start long, length long, ids_crc32 long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder.of(vocabulary)
+        encoder = PieceEncoder.of(vocabulary, added_tokens)
         rows = (
             (key, text)
             for batch in batches

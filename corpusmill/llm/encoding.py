@@ -4,6 +4,10 @@ A single space between two characters that are not white space always starts a n
 pretoken of a byte-level vocabulary, so a text may be cut before each such space and the
 pieces encoded apart. Pieces seen before are looked up; new ones are joined again and
 encoded by the tokenizers library in one call, and cut by the byte lengths of its tokens.
+
+Added tokens of the vocabulary that stand in a text are either recognised, as the library
+does by default, or read as plain text. A text that holds one to be recognised goes to the
+library whole.
 """
 
 from __future__ import annotations
@@ -38,16 +42,21 @@ def _plain(text: str) -> bool:
 
 
 class PieceEncoder:
-    """Encodes texts to flat id arrays; one per Python worker and vocabulary file."""
+    """Encodes texts to flat id arrays; one per Python worker, vocabulary file and reading."""
 
-    _own: dict[str, PieceEncoder] = {}
+    _own: dict[tuple[str, bool], PieceEncoder] = {}
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added_tokens: bool = False) -> None:
+        """``added_tokens``: recognise the vocabulary's added tokens, the library's default."""
         from tokenizers import Tokenizer
 
+        self._whole = Tokenizer.from_file(path)
+        self._whole.encode_special_tokens = not added_tokens
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         spec = json.loads(self._tokenizer.to_str())
+        added = spec.get("added_tokens") or []
+        self._added = [x["content"] for x in added if x["special"]] if added_tokens else []
         splitter = spec.get("pre_tokenizer") or {}
         # Only for a byte-level vocabulary without changes to the text are cuts safe.
         self._cuts = (
@@ -55,6 +64,8 @@ class PieceEncoder:
             and not splitter.get("add_prefix_space")
             and splitter.get("use_regex", True)
             and spec.get("normalizer") is None
+            # The switch that reads added tokens as text holds for special ones only.
+            and all(x["special"] for x in added)
         )
         vocabulary = self._tokenizer.get_vocab()
         self.size = max(vocabulary.values()) + 1
@@ -64,10 +75,10 @@ class PieceEncoder:
         self._clear()
 
     @classmethod
-    def of(cls, path: str) -> PieceEncoder:
-        if path not in cls._own:
-            cls._own[path] = cls(path)
-        return cls._own[path]
+    def of(cls, path: str, added_tokens: bool = False) -> PieceEncoder:
+        if (path, added_tokens) not in cls._own:
+            cls._own[path, added_tokens] = cls(path, added_tokens)
+        return cls._own[path, added_tokens]
 
     def _clear(self) -> None:
         self._known = _Numbers()
@@ -83,8 +94,19 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the same as from the library."""
         if not self._cuts:
-            found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
+            found = self._whole.encode_batch(texts, add_special_tokens=False)
             return [np.array(x.ids, np.uint32) for x in found]
+        if self._added:
+            holding = [k for k, t in enumerate(texts) if any(x in t for x in self._added)]
+            if holding:
+                # Few texts hold an added token; around it the pieces could not be cut.
+                own = self._whole.encode_batch([texts[k] for k in holding], add_special_tokens=False)
+                whole = {k: np.array(x.ids, np.uint32) for k, x in zip(holding, own, strict=True)}
+                others = iter(self._encode([t for k, t in enumerate(texts) if k not in whole]))
+                return [whole[k] if k in whole else next(others) for k in range(len(texts))]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if self._known.size > CACHED_PIECES or self._used > CACHED_IDS:
             self._clear()
         number = self._known.__getitem__

@@ -93,7 +93,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = token_files.token_folder(spark)
     docs = read(spark, sf_dir, "documents")
-    parts = token_files.write_token_files(docs, root, vocabulary(), 2, "doc_id", "text")
+    parts = token_files.write_token_files(docs, root, vocabulary(), 2, "doc_id", "text", added_tokens=True)
     return token_files.read_token_files(spark, parts, root).withColumnRenamed("id", "doc_id")
 
 
@@ -113,7 +113,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     """Places of all token pieces of ``docs`` in sequences of 2,048 tokens."""
-    pieces = bin_completion.token_pieces(docs, vocabulary(), 0, 2048, "doc_id", "text")
+    pieces = bin_completion.token_pieces(docs, vocabulary(), 0, 2048, "doc_id", "text", added_tokens=True)
     return bin_completion.pack(pieces, 2048).withColumnRenamed("id", "doc_id")
 
 

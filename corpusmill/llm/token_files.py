@@ -46,15 +46,17 @@ def batches_of(column: Iterator[tuple], size: int = BATCH_CHARS) -> Iterator[lis
 
 
 def write_token_files(
-    docs: DataFrame, root: str, vocabulary: str, end_id: int, id_col: str, text_col: str
+    docs: DataFrame, root: str, vocabulary: str, end_id: int, id_col: str, text_col: str,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Encode ``docs`` into files below ``root``; returns one row ``PARTS`` per part.
 
-    ``vocabulary`` is a tokenizers file that every executor can read.
+    ``vocabulary`` is a tokenizers file that every executor can read. With ``added_tokens``
+    the vocabulary's added tokens are recognised in texts, else they are plain text.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder.of(vocabulary)
+        encoder = PieceEncoder.of(vocabulary, added_tokens)
         width = 2 if max(encoder.size - 1, end_id) < 1 << 16 else 4
         task = TaskContext.get()
         part, out, docs_seen, ids_seen = task.partitionId(), None, 0, 0

@@ -4,9 +4,11 @@ Documents are cut into pieces of at most a sequence; only a document's first pie
 shorter. Lengths are whole numbers up to the sequence length, so the packing problem is
 fully given by one count per length. A bin is completed around the largest length left:
 undominated fillings of the remaining space are enumerated, largest first, under a bound
-on the waste that is still affordable, and the best-fit filling is the incumbent. A chosen
-filling is used as often as the counts allow, so the plan is a short list of fillings with
-multiplicities; Spark then numbers the pieces of each length and looks up their place.
+on the waste that is still affordable, and the best-fit filling is the incumbent. Choices
+are taken back depth first, counts without a plan are remembered, and a number of steps
+bounds the search. A chosen filling is first used as often as the counts allow, so the plan
+is a short list of fillings with multiplicities; Spark then numbers the pieces of each
+length and looks up their place.
 
 Defined results: a NULL text is empty and gives one piece with the end id; repeated rows
 are packed each on its own; a NULL id stays NULL; an empty table gives an empty result;
@@ -15,7 +17,10 @@ other columns are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from hashlib import blake2b
+from operator import neg
 from zlib import crc32
 
 import numpy as np
@@ -27,8 +32,8 @@ from corpusmill.llm.encoding import PieceEncoder
 from corpusmill.llm.token_files import batches_of
 from corpusmill.plans.staging import stage
 
-SEARCH_STEPS = 5_000  # fillings looked at for one bin before the best so far is taken
-NODES = 2  # alternatives tried in the search over whole plans
+SEARCH_STEPS = 20_000  # steps to one bin of the first descent before the best so far is taken
+PLAN_STEPS = 2_000_000  # steps of the search for a plan with fewer bins
 NUMBERED_ROWS = 100_000  # pieces of one length that are numbered together, about
 
 
@@ -73,42 +78,43 @@ def token_pieces(
 # --- the plan over counts ------------------------------------------------------
 
 
-def fillings(space: int, lengths: list[int], counts: dict[int, int], slack: int, steps: int) -> Iterator[tuple]:
-    """Undominated fillings of ``space`` that waste at most ``slack``, largest items first.
+def fillings(
+    space: int, lengths: list[int], counts: dict[int, int], least: int, slack: int, left: list[int]
+) -> Iterator[tuple]:
+    """Undominated fillings of ``space`` that waste ``least`` to ``slack``, largest items first.
 
     ``lengths`` falls. A filling is dominated when an unused item still fits, or when an
     item could be exchanged for a larger free one that fits, so those are not given.
+    ``left`` holds the steps that may still be taken; below zero the list is not complete.
     """
-    lengths = [x for x in lengths if x <= space]
-    reach = np.zeros(len(lengths) + 1, np.int64)  # the most that the items from k on can fill
-    for k in range(len(lengths) - 1, -1, -1):
+    lengths = lengths[bisect_left(lengths, -space, key=neg) :]
+    end = len(lengths)
+    reach = [0] * (end + 1)  # the most that the items from k on can fill
+    for k in range(end - 1, -1, -1):
         reach[k] = min(space, reach[k + 1] + lengths[k] * counts[lengths[k]])
-    left = [steps]
-
-    def fill(k: int, room: int, chosen: tuple) -> Iterator[tuple]:
+    open_ = [(0, space, ())]
+    while open_:
         left[0] -= 1
         if left[0] < 0:
             return
-        while k < len(lengths) and lengths[k] > room:
-            k += 1
-        if k == len(lengths):
-            if room <= slack:
+        k, room, chosen = open_.pop()
+        k = bisect_left(lengths, -room, k, key=neg)
+        if k == end:
+            if least <= room <= slack and not (room and _dominated(room, chosen, lengths, counts)):
                 yield room, chosen
-            return
-        if room - reach[k] > slack:
-            return
-        x = lengths[k]
-        for n in range(min(room // x, counts[x]), -1, -1):
-            yield from fill(k + 1, room - n * x, (*chosen, (x, n)) if n else chosen)
-            if left[0] < 0:
-                return
+        elif room - reach[k] <= slack:
+            x = lengths[k]
+            open_ += [
+                (k + 1, room - n * x, (*chosen, (x, n)) if n else chosen)
+                for n in range(min(room // x, counts[x]) + 1)
+            ]
 
-    for waste, chosen in fill(0, space, ()):
-        used = dict(chosen)
-        free = [x for x in lengths if counts[x] > used.get(x, 0)]
-        # A larger free item in place of a chosen one would waste less.
-        if not any(x < y <= x + waste for x in used for y in free) and not (free and free[-1] <= waste):
-            yield waste, chosen
+
+def _dominated(waste: int, chosen: tuple, lengths: list[int], counts: dict[int, int]) -> bool:
+    used = dict(chosen)
+    free = [x for x in lengths if counts[x] > used.get(x, 0)]
+    # A larger free item in place of a chosen one would waste less.
+    return any(x < y <= x + waste for x in used for y in free) or bool(free and free[-1] <= waste)
 
 
 def _best_fit(space: int, lengths: list[int], counts: dict[int, int]) -> tuple[int, tuple]:
@@ -132,77 +138,132 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
         number[k] = n
     items, mass = np.cumsum(number), np.cumsum(number * size)
     half = capacity // 2
-    best = -(-int(mass[-1]) // capacity)
-    for low in range(1, half + 1):
-        alone = items[capacity] - items[capacity - low]
-        paired = items[capacity - low] - items[half]
-        room = paired * capacity - (mass[capacity - low] - mass[half])
-        rest = mass[half] - mass[low - 1] - room
-        best = max(best, int(alone + paired + max(0, -(-rest // capacity))))
-    return best
+    low = np.arange(1, half + 1)
+    alone = items[capacity] - items[capacity - low]
+    paired = items[capacity - low] - items[half]
+    room = paired * capacity - (mass[capacity - low] - mass[half])
+    rest = mass[half] - mass[low - 1] - room
+    bins = alone + paired + np.maximum(0, -(-rest // capacity))
+    return max(-(-int(mass[-1]) // capacity), int(bins.max(initial=0)))
 
 
 def completion_plan(
-    counts: dict[int, int], capacity: int, steps: int = SEARCH_STEPS, nodes: int = NODES
+    counts: dict[int, int], capacity: int, steps: int = PLAN_STEPS
 ) -> list[tuple[int, tuple]]:
     """Fillings ``(times, ((length, number), ...))`` that use up the counts.
 
-    Branch and bound: the affordable waste of a plan with one bin less than the incumbent
-    limits every filling; the search stops at the lower bound.
+    Branch and bound: a first descent, then plans of one bin less as long as the search
+    finds one. It ends at the lower bound, when no such plan exists, or after ``steps``.
     """
-    total = sum(k * n for k, n in counts.items())
     least = lower_bound(counts, capacity)
-    best = _completed(counts, capacity, None, steps, ())
+    best = _descent(counts, capacity)
     size = sum(t for t, _ in best)
-    # Other choices at the first bins: the second, third, ... undominated filling.
-    for k in range(nodes):
-        if size <= least:
+    left = [steps]
+    while size > least:
+        other = _plan_within(counts, capacity, size - 1, left)
+        if other is None:
             break
-        affordable = (size - 1) * capacity - total
-        choices = (0, k + 1)
-        other = _completed(counts, capacity, affordable, steps, choices)
-        if other is not None and (n := sum(t for t, _ in other)) < size:
-            best, size = other, n
+        best, size = other, sum(t for t, _ in other)
     return best
 
 
-def _completed(counts, capacity, affordable, steps, choices) -> list[tuple[int, tuple]] | None:
-    """One descent; ``None`` when it would waste more than is affordable."""
-    left, plan, wasted, depth = {k: n for k, n in counts.items() if n > 0}, [], 0, 0
+def _descent(counts: dict[int, int], capacity: int) -> list[tuple[int, tuple]]:
+    """Each bin completed with the least waste, without a way back."""
+    left, plan = {k: n for k, n in counts.items() if n > 0}, []
     while left:
-        lengths = sorted(left, reverse=True)
-        first = lengths[0]
-        left[first] -= 1
+        first, falling, own = _opened(left)
         space = capacity - first
-        own = {k: n for k, n in left.items() if n > 0}
-        falling = [x for x in lengths if x in own]
-        incumbent = _best_fit(space, falling, own)
-        found = [incumbent] if incumbent[0] == 0 else []
-        wanted = choices[depth] if depth < len(choices) else 0
-        if not found or wanted:
-            slack = incumbent[0] if affordable is None else min(space, max(affordable - wasted, 0))
-            for waste, chosen in fillings(space, falling, own, slack, steps):
-                found.append((waste, chosen))
-                if waste == 0 and len(found) > wanted:
+        best = _best_fit(space, falling, own)
+        if best[0]:
+            for found in fillings(space, falling, own, 0, best[0] - 1, [SEARCH_STEPS]):
+                best = min(best, found, key=lambda x: x[0])
+                if best[0] == 0:
                     break
-        found = sorted(found or [incumbent], key=lambda x: x[0])
-        waste, chosen = found[min(wanted, len(found) - 1)]
-        left[first] += 1
-        items: dict[int, int] = {first: 1}
-        for x, n in chosen:
-            items[x] = items.get(x, 0) + n
-        times = max(1, min(left[x] // n for x, n in items.items()))
-        if affordable is not None:
-            if waste and affordable - wasted < waste:
-                return None
-            times = min(times, max(1, (affordable - wasted) // waste)) if waste else times
-        wasted += waste * times
-        plan.append((times, tuple(sorted(items.items(), reverse=True))))
-        left = {x: n - times * items.get(x, 0) for x, n in left.items() if n > times * items.get(x, 0)}
-        depth += 1
+        items = _with(first, best[1])
+        times = min(left[x] // n for x, n in items)
+        plan.append((times, items))
+        left = _without(left, times, items)
     return plan
 
 
+def _plan_within(
+    counts: dict[int, int], capacity: int, bins: int, left: list[int]
+) -> list[tuple[int, tuple]] | None:
+    """A plan of at most so many bins, depth first with a way back to every choice.
+
+    ``None`` when there is none, or when ``left``, the steps, fell below zero.
+    """
+    start = {k: n for k, n in counts.items() if n > 0}
+    exhausted: dict[bytes, int] = {}  # counts without a plan of so many bins
+    path: list[tuple] = []  # per bin: what it leaves, bins for that, choices, the one taken
+    state, room = start, bins
+    while True:
+        if not state:
+            return [frame[-1] for frame in path]
+        key = blake2b(repr(sorted(state.items())).encode(), digest_size=16).digest()
+        left[0] -= len(state)
+        if exhausted.get(key, -1) < room and lower_bound(state, capacity) <= room:
+            path.append([state, room, key, _choices(state, capacity, room, left), None])
+        while path:
+            frame = path[-1]
+            frame[-1] = next(frame[3], None)
+            if left[0] < 0:
+                return None
+            if frame[-1] is not None:
+                break
+            exhausted[frame[2]] = max(frame[1], exhausted.get(frame[2], -1))
+            path.pop()
+        if not path:
+            return None
+        times, items = path[-1][-1]
+        state, room = _without(path[-1][0], times, items), path[-1][1] - times
+
+
+def _choices(state: dict[int, int], capacity: int, bins: int, left: list[int]) -> Iterator[tuple]:
+    """``times, items`` of the bin around the largest length, about by rising waste.
+
+    A filling is tried as often as it goes and then once, which leaves every other number
+    of times to the bins after it.
+    """
+    spare = bins * capacity - sum(k * n for k, n in state.items())
+    first, falling, own = _opened(state)
+    space = capacity - first
+    low, high = 0, 0
+    while low <= min(space, spare):
+        for waste, chosen in fillings(space, falling, own, low, min(high, space, spare), left):
+            items = _with(first, chosen)
+            times = min(state[x] // n for x, n in items)
+            if waste:
+                times = min(times, spare // waste)
+            yield times, items
+            if times > 1:
+                yield 1, items
+        low, high = high + 1, 2 * high + 1
+
+
+def _opened(state: dict[int, int]) -> tuple[int, list[int], dict[int, int]]:
+    """The largest length, and the falling lengths and counts of what may join it."""
+    falling = sorted(state, reverse=True)
+    first, own = falling[0], dict(state)
+    own[first] -= 1
+    return first, falling if own[first] else falling[1:], own
+
+
+def _with(first: int, chosen: tuple) -> tuple:
+    items = dict(chosen)
+    items[first] = items.get(first, 0) + 1
+    return tuple(sorted(items.items(), reverse=True))
+
+
+def _without(state: dict[int, int], times: int, items: tuple) -> dict[int, int]:
+    out = dict(state)
+    for x, n in items:
+        out[x] -= times * n
+        if not out[x]:
+            del out[x]
+    return out
+
+
 # --- places for the pieces -------------------------------------------------------
 
 

@@ -3,8 +3,12 @@
 A text is lower-cased (A-Z) and read as its words, joined by single spaces, and an end
 symbol. Each symbol becomes a few binary decisions on the path of a prefix code that
 depends on the symbol before it. Every decision is predicted from several contexts: the
-code's own node, and hashes of earlier symbols and of the current word, whose counts are
-gathered from all training documents. The predictions are combined in the logistic domain
+code's own node, the earlier symbols, and the current word so far, whose counts are
+gathered from all training documents. For each context that occurs there, the symbols that
+follow it are counted in a partitioned table, which grows with the corpus; contexts are not
+added together (earlier symbols are the key themselves, words have 55 bits of a hash). Texts
+are read in blocks: a block asks the table for its contexts and turns the answers into the
+counts of its own decisions. The predictions are combined in the logistic domain
 by weights that a gate selects, the gate being how often the word context was seen. The
 weights start equal for every document and are refined while it is read, so a score
 depends on the document and the corpus counts only.
@@ -17,6 +21,7 @@ gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, repeat
@@ -31,11 +36,14 @@ from corpusmill.plans.staging import stage
 
 END = 256
 SYMBOLS = 257
-SLOT_BITS = 22
-CHUNK = 1 << 14  # slots in one row of gathered counts
-ORDERS = (5, "word")  # hashed contexts: earlier symbols, or the current word so far
+SLOT_BITS = 22  # of a table that ``Symbols`` addresses by hash; ``score`` uses ``Contexts``
+SYMBOL_BITS = 9
+PAIRS_HELD = 1 << 22  # distinct contexts with a next symbol that a task holds, about
+TABLE_TOKENS = 1 << 22  # tokens of the corpus for each part of the table of a context
+ORDERS = (5, "word")  # contexts: earlier symbols, or the current word so far
 GATE_COUNTS = (1, 4, 16, 64, 512)  # sightings of the word context at which the next gate starts
 BATCH_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 20  # texts that ask the table together
 WORDS_HELD = 1 << 19  # distinct words a task counts before it hands them on
 HEAD_SHARE = 1 << 17  # words with at least this share of all tokens are looked up in the task
 RATE = 0.7
@@ -45,8 +53,6 @@ FIRST_WEIGHTS = (
     (0.8, 0.8, 0.75, 0.6, 0.5, 0.7),
     (0.5, 0.3, 0.4, 0.4, 0.45, 0.3),
 )
-SYMBOLS_COUNTED = 1 << 16  # symbols of a batch whose decisions are counted at once
-FAN_IN = 64  # tasks whose counts are added in a first step
 
 
 def held_out_remainder(id_col: str) -> Column:
@@ -94,24 +100,49 @@ class Codes:
         self.stretched = np.log(chance / (1 - chance)).astype(np.float32)[at]
 
 
-class Symbols:
-    """The symbols of a batch of texts, with a hash per context."""
+class _Batch:
+    """The symbols of a batch of texts, and where they stand."""
 
-    def __init__(self, texts: list[bytes], codes: Codes) -> None:
-        self._codes = codes
+    def __init__(self, texts: list[bytes]) -> None:
         self.lengths = np.array([len(t) + 1 for t in texts])
         ends = np.cumsum(self.lengths)
         total = int(ends[-1])
-        symbols = np.full(total, END, np.int32)
+        self.symbols = np.full(total, END, np.int32)
         inside = np.ones(total, bool)
         inside[ends - 1] = False
-        symbols[inside] = np.frombuffer(b"".join(texts), np.uint8)
-        starts = np.repeat(ends - self.lengths, self.lengths)
-        self.place = np.arange(total) - starts
-        before = _shifted(symbols, self.place, 1)
-        self.pair = before * np.int32(SYMBOLS) + symbols
+        self.symbols[inside] = np.frombuffer(b"".join(texts), np.uint8)
+        self.starts = np.repeat(ends - self.lengths, self.lengths)
+        self.place = np.arange(total) - self.starts
+        self.before = _shifted(self.symbols, self.place, 1)
+        self.pair = self.before * np.int32(SYMBOLS) + self.symbols
+
+    def contexts(self) -> list[np.ndarray]:
+        """Per kind of context, each symbol's context and the symbol in the low bits."""
+        out = []
+        for order in ORDERS:
+            if order == "word":
+                key = _word_prefix(self.symbols, self.before, self.starts)
+                key = (key * np.uint64(SYMBOLS) + self.before.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                key = (key ^ (key >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+                key >>= np.uint64(SYMBOL_BITS)
+            else:
+                key = np.zeros(len(self.symbols), np.uint64)  # 257**5 is below 2**55
+                for k in range(1, order + 1):
+                    key = key * np.uint64(SYMBOLS) + _shifted(self.symbols, self.place, k).astype(np.uint64)
+            out.append(key << np.uint64(SYMBOL_BITS) | self.symbols.astype(np.uint64))
+        return out
+
+
+class Symbols(_Batch):
+    """The symbols of a batch of texts, with a hash per context."""
+
+    def __init__(self, texts: list[bytes], codes: Codes) -> None:
+        super().__init__(texts)
+        self._codes = codes
         self.hashes = [
-            _word_hash(symbols, before, starts) if order == "word" else _order_hash(symbols, self.place, order)
+            _word_hash(self.symbols, self.before, self.starts)
+            if order == "word"
+            else _order_hash(self.symbols, self.place, order)
             for order in ORDERS
         ]
 
@@ -133,6 +164,70 @@ class Symbols:
         return sizes, path, slots
 
 
+class Contexts(_Batch):
+    """The symbols of a batch of texts, with exact places in the counts of its own decisions."""
+
+    def __init__(self, texts: list[bytes], codes: Codes) -> None:
+        super().__init__(texts)
+        self._codes = codes
+        self.pairs, self._which = zip(*[np.unique(x, return_inverse=True) for x in self.contexts()], strict=True)
+        #: The distinct contexts of each kind, rising.
+        self.asked = [_heads(x) for x in self.pairs]
+        self._first, self._slots = [], []
+
+    def learn(self, answers: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Counts (zero, one) of the decisions, from what followed each asked context.
+
+        An answer has the number of symbols that followed each context, the symbols, and
+        how often each did.
+        """
+        codes, counts = self._codes, []
+        for pairs, which, asked, (sizes, symbols, times) in zip(self.pairs, self._which, self.asked, answers, strict=True):
+            context = np.searchsorted(asked, pairs >> np.uint64(SYMBOL_BITS))
+            pair = np.zeros(len(pairs), np.int32)
+            pair[which] = self.pair
+            before = np.zeros(len(asked), np.int32)
+            before[context] = pair // SYMBOLS
+            owner = np.repeat(np.arange(len(asked)), sizes)
+            path, decision, lengths = self._paths(owner, before[owner] * np.int32(SYMBOLS) + symbols)
+            known, at = np.unique(decision, return_inverse=True)
+            weight = np.repeat(times, lengths).astype(np.float64)
+            one = np.bincount(at, weight * codes.bits[path], len(known)).astype(np.int64)
+            both = np.bincount(at, weight, len(known)).astype(np.int64)
+            # The last place is for decisions that the corpus never made in this context.
+            counts.append((np.append(both - one, 0), np.append(one, 0)))
+            _, wanted, lengths = self._paths(context, pair)
+            slot = np.searchsorted(known, wanted)
+            if len(known):
+                slot[known[np.minimum(slot, len(known) - 1)] != wanted] = len(known)
+            self._slots.append(slot.astype(np.int32))
+            self._first.append((np.cumsum(lengths) - lengths)[which])
+        return counts
+
+    def _paths(self, context: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places on the paths of the pairs, context and node of each decision, decisions each."""
+        sizes = self._codes.sizes[pair]
+        path = np.repeat(self._codes.starts[pair] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+        decision = np.repeat(context.astype(np.uint64) << np.uint64(32), sizes) | self._codes.steps[path].astype(np.uint64)
+        return path, decision, sizes
+
+    def decisions(self, at: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Of the symbols ``at``: decisions each, their places on the paths, their slots."""
+        pair = self.pair[at]
+        sizes = self._codes.sizes[pair]
+        number = np.arange(int(sizes.sum()), dtype=np.int32)
+        number -= np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes, sizes)
+        path = np.repeat(self._codes.starts[pair], sizes) + number
+        slots = [s.take(np.repeat(f[at], sizes) + number) for f, s in zip(self._first, self._slots, strict=True)]
+        return sizes, path, slots
+
+
+def _heads(pairs: np.ndarray) -> np.ndarray:
+    """The distinct contexts of rising pairs of a context and a symbol."""
+    heads = pairs >> np.uint64(SYMBOL_BITS)
+    return heads[np.diff(heads, prepend=~heads[:1]) != 0]
+
+
 def _shifted(symbols: np.ndarray, place: np.ndarray, by: int) -> np.ndarray:
     """The symbol so many places earlier in the text; the end symbol before its start."""
     out = np.full(len(symbols), END, symbols.dtype)
@@ -151,6 +246,12 @@ def _order_hash(symbols: np.ndarray, place: np.ndarray, order: int) -> np.ndarra
 
 def _word_hash(symbols: np.ndarray, before: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """A hash of the symbols from the start of the word up to the one before."""
+    inner = _word_prefix(symbols, before, starts)
+    return (inner * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
+
+
+def _word_prefix(symbols: np.ndarray, before: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The symbols from the start of the word up to the one before, as a polynomial."""
     base, inverse = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
     n = len(symbols)
     powers, undone = _powers(base, n), _powers(inverse, n)
@@ -158,8 +259,7 @@ def _word_hash(symbols: np.ndarray, before: np.ndarray, starts: np.ndarray) -> n
     opens = (before == 32) | (before == END)
     opens[starts == np.arange(n)] = True
     first = np.maximum.accumulate(np.where(opens, np.arange(n), 0))
-    inner = (upto[np.arange(n)] - upto[first]) * undone[first]
-    return (inner * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
+    return (upto[np.arange(n)] - upto[first]) * undone[first]
 
 
 _power_tables: dict[int, np.ndarray] = {}
@@ -198,9 +298,9 @@ class Mixer:
         last &= np.uint32(0xFFFFFFF8)
         last |= np.searchsorted(GATE_COUNTS, seen, "right").astype(np.uint32)
 
-    def log10(self, texts: list[bytes]) -> np.ndarray:
-        """The log10 probability of each text."""
-        own = Symbols(texts, self.codes)
+    def log10(self, texts: list[bytes], own: _Batch | None = None) -> np.ndarray:
+        """The log10 probability of each text; ``own`` are its symbols, hashed ones if left out."""
+        own = own or Symbols(texts, self.codes)
         gates = len(GATE_COUNTS) + 1
         doc = np.repeat(np.arange(len(texts), dtype=np.int32), own.lengths)
         edges = _schedule(int(own.lengths.max()))
@@ -252,7 +352,7 @@ def _words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[list[bytes]]]]:
+def _batches(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[tuple[list, list[list[bytes]]]]:
     """Groups of rows (the columns before the text) and their words, of bounded size."""
     keys, texts, size = [], [], 0
     for batch in batches:
@@ -263,7 +363,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[lis
             keys.append(key)
             texts.append(_words(text))
             size += len(text) + 16  # many empty texts fill a batch as well
-            if size >= BATCH_BYTES:
+            if size >= (most or BATCH_BYTES):
                 yield keys, texts
                 keys, texts, size = [], [], 0
     if keys:
@@ -307,33 +407,163 @@ def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield rows(2, some, pairs[some])
 
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum the count rows ``part, chunk, zero, one`` of a partition, one row per chunk."""
-    sums: dict[tuple[int, int, int], list[np.ndarray]] = {}
-    for batch in batches:
-        for salt, part, chunk, zero, one in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
-            new = [_numbers(zero), _numbers(one)]
-            old = sums.get((salt, part, chunk))
-            sums[salt, part, chunk] = new if old is None else [a + b for a, b in zip(old, new, strict=True)]
-    yield from _chunks(sums)
+def _summed(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal pairs once, rising, with the sum of their counts."""
+    order = np.argsort(pairs, kind="stable")
+    pairs, n = pairs[order], n[order]
+    first = np.flatnonzero(np.diff(pairs, prepend=~pairs[:1]) != 0)
+    return pairs[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _parts_of(contexts: np.ndarray, parts: int) -> np.ndarray:
+    mixed = (contexts ^ (contexts >> np.uint64(23))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _restored(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
 
 
-def _chunks(sums: dict) -> Iterator[pa.RecordBatch]:
-    for (salt, part, chunk), (zero, one) in sums.items():
-        yield pa.RecordBatch.from_pydict(
-            {"salt": pa.array([salt], pa.int32()), "part": pa.array([part], pa.int32()), "chunk": pa.array([chunk], pa.int32()),
-             "zero": [_cut(zero)], "one": [_cut(one)]}
-        )
+def _packed(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers byte place by byte place, so that the empty high bytes compress."""
+    return _squeezed(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T).tobytes())
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(_restored(data), np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
+
+
+# Rows on their way: counts of pairs (0) and questions of blocks (1) to a part, texts (2)
+# along with them; answers (1) and texts (2) to a block.
+ROUTE = "part int, kind int, block long, keys binary, n binary"
+COUNTS, ASKED, TEXTS = 0, 1, 2
+
+
+def _route(part: int, kind: int, block: int, keys: bytes, n: bytes = b"") -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int32()), pa.array([kind], pa.int32()), pa.array([block], pa.int64()),
+         pa.array([keys], pa.binary()), pa.array([n], pa.binary())],
+        ["part", "kind", "block", "keys", "n"],
+    )
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield tuple(batch.column(c)[k].as_py() for c in range(5))
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """What follows each context, added up in the task before it goes to the parts."""
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    held, fresh = [none for _ in ORDERS], [[] for _ in ORDERS]
+
+    def added() -> None:
+        for kind, new in enumerate(fresh):
+            if new:
+                held[kind] = _summed(*map(np.concatenate, zip(held[kind], *new, strict=True)))
+                new.clear()
+
+    def handed() -> Iterator[pa.RecordBatch]:
+        added()
+        for kind, (pairs, n) in enumerate(held):
+            part = _parts_of(pairs >> np.uint64(SYMBOL_BITS), parts)
+            for p in np.unique(part).tolist():
+                own = part == p
+                yield _route(kind * parts + p, COUNTS, 0, _packed(np.diff(pairs[own], prepend=np.uint64(0))), _packed(n[own]))
+            held[kind] = none
+
+    for _, texts in _batches(batches):
+        for new, pairs in zip(fresh, _Batch([b" ".join(t) for t in texts]).contexts(), strict=True):
+            new.append(np.unique(pairs, return_counts=True))
+        if sum(len(x) for new in fresh for x, _ in new) > PAIRS_HELD // 2:
+            added()
+            if sum(len(x) for x, _ in held) > PAIRS_HELD:
+                yield from handed()
+    yield from handed()
+
+
+def _questions(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of texts, and the contexts that each asks of every part."""
+    task = TaskContext.get().partitionId()
+    for number, (keys, texts) in enumerate(_batches(batches, BLOCK_BYTES)):
+        block = (task << 32) + number
+        joined = [b" ".join(t) for t in texts]
+        yield _route(block % parts, TEXTS, block, _squeezed(pickle.dumps((keys, b"\n".join(joined)))))
+        for kind, pairs in enumerate(_Batch(joined).contexts()):
+            asked = _heads(np.unique(pairs))
+            part = _parts_of(asked, parts)
+            for p in np.unique(part).tolist():
+                yield _route(kind * parts + p, ASKED, block, _packed(np.diff(asked[part == p], prepend=np.uint64(0))))
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers from the counts of a part; rows come by part, counts before questions."""
+    at, counts, table = None, [], None
+    for part, kind, block, keys, n in _rows_of(batches):
+        if part != at:
+            at, counts, table = part, [], None
+        if kind == COUNTS:
+            counts.append((np.cumsum(_unpacked(keys, np.uint64), dtype=np.uint64), _unpacked(n, np.int64)))
+        elif kind == TEXTS:
+            yield _route(-1, TEXTS, block, keys)
+        else:
+            if table is None:
+                none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                pairs, times = _summed(*map(np.concatenate, zip(none, *counts, strict=True)))
+                counts, table = [], (pairs >> np.uint64(SYMBOL_BITS), pairs & np.uint64((1 << SYMBOL_BITS) - 1), times)
+            asked = np.cumsum(_unpacked(keys, np.uint64), dtype=np.uint64)
+            low = np.searchsorted(table[0], asked, "left")
+            sizes = np.searchsorted(table[0], asked, "right") - low
+            place = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+            followed = pickle.dumps((_packed(table[1][place].astype(np.uint16)), _packed(table[2][place])))
+            yield _route(part, ASKED, block, _packed(sizes.astype(np.uint16)), followed)
+
+
+def _answered(asked: list[np.ndarray], answers: dict[int, tuple[bytes, bytes]], parts: int) -> list[tuple]:
+    """The answers of all parts in the order of the contexts a block asked for."""
+    out = []
+    for kind, contexts in enumerate(asked):
+        part, found = _parts_of(contexts, parts), []
+        for p in np.unique(part).tolist():
+            sizes = _unpacked(answers[kind * parts + p][0], np.uint16).astype(np.int64)
+            symbols, times = pickle.loads(answers[kind * parts + p][1])
+            symbols, times = _unpacked(symbols, np.uint16), _unpacked(times, np.int64)
+            found.append((np.flatnonzero(part == p), sizes, symbols.astype(np.int32), times))
+        place, sizes, symbols, times = map(np.concatenate, zip(*found, strict=True))
+        order = np.argsort(np.repeat(place, sizes), kind="stable")
+        out.append((sizes[np.argsort(place)], symbols[order], times[order]))
+    return out
 
 
-def _cut(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes each as the largest needs; 32 bits are enough for ratios."""
-    width = next(w for w in (1, 2, 4) if w == 4 or counts.max() < 256**w)
-    return np.minimum(counts.astype(np.int64), 2**32 - 1).astype(f"<u{width}").tobytes()
+def _blocks(batches: Iterator[pa.RecordBatch], parts: int, codes: Codes) -> Iterator[tuple[list, list, np.ndarray]]:
+    """Keys, texts and scores of each block; its text row comes before its answers."""
 
+    def scored(held: bytes, answers: dict) -> tuple[list, list, np.ndarray]:
+        keys, joined = pickle.loads(_restored(held))
+        joined = joined.split(b"\n")  # white space inside a text is single spaces
+        texts = [t.split() for t in joined]
+        own = Contexts(joined, codes)
+        counts = own.learn(_answered(own.asked, answers, parts))
+        return keys, texts, Mixer(codes, counts).log10(joined, own)
 
-def _numbers(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // CHUNK}").astype(np.int64)
+    at, held, answers = None, b"", {}
+    for part, kind, block, keys, n in _rows_of(batches):
+        if block != at:
+            if at is not None:
+                yield scored(held, answers)
+            at, answers = block, {}
+        if kind == TEXTS:
+            held = keys
+        else:
+            answers[part] = (keys, n)
+    if at is not None:
+        yield scored(held, answers)
 
 
 def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -368,44 +598,20 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     top = words.where(F.col("c") >= often).orderBy("word").toArrow()
     head = spark.sparkContext.broadcast((top.column(0).to_numpy(), top.column(1).to_numpy()))
 
-    def context_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = [np.zeros(2 << SLOT_BITS, np.int32) for _ in ORDERS]
-        used = False
-        for _, texts in _batches(batches):
-            used = True
-            found = Symbols([b" ".join(t) for t in texts], codes.value)
-            for k in range(0, len(found.pair), SYMBOLS_COUNTED):
-                _, path, slots = found.decisions(slice(k, k + SYMBOLS_COUNTED))
-                bit = codes.value.bits[path]
-                for slot, table in zip(slots, own, strict=True):
-                    np.add.at(table, (slot * np.uint32(2) + bit).astype(np.intp), np.ones(len(bit), np.int32))
-        if used:
-            salt = TaskContext.get().partitionId() // FAN_IN
-            sums = {}
-            for part, table in enumerate(own):
-                both = table.reshape(-1, CHUNK, 2)
-                sums |= {(salt, part, k): (both[k, :, 0], both[k, :, 1]) for k in range(len(both))}
-            yield from _chunks(sums)
-
-    schema = "salt int, part int, chunk int, zero binary, one binary"
-    near = learnt.mapInArrow(context_counts, schema).repartition("salt", "part", "chunk").mapInArrow(_added, schema)
-    final = near.withColumn("salt", F.lit(0)).repartition("part", "chunk").mapInArrow(_added, schema)
-    slots = [(np.zeros(1 << SLOT_BITS, np.int64), np.zeros(1 << SLOT_BITS, np.int64)) for _ in ORDERS]
-    # As many rows as the tables have chunks, whatever the corpus.
-    for r in final.select("part", "chunk", "zero", "one").collect():
-        at = slice(r["chunk"] * CHUNK, (r["chunk"] + 1) * CHUNK)
-        slots[r["part"]][0][at] = _numbers(r["zero"])
-        slots[r["part"]][1][at] = _numbers(r["one"])
-    mixer = spark.sparkContext.broadcast(Mixer(codes.value, slots))
+    parts = max(8, tokens // TABLE_TOKENS)  # of the table of each kind of context
+    learnt_pairs = learnt.mapInArrow(lambda b: _pair_counts(b, parts), ROUTE)
+    questions = rows.mapInArrow(lambda b: _questions(b, parts), ROUTE)
+    # The texts travel with the questions of their block, so both are from one reading.
+    sent = learnt_pairs.union(questions).repartition(parts * len(ORDERS), "part")
+    found = sent.sortWithinPartitions("part", "kind").mapInArrow(_answers, ROUTE)
+    blocks = found.repartition("block").sortWithinPartitions("block", "part")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
         names, often_n = head.value
         logs = np.log10(often_n + 1.0)
-        for keys, texts in _batches(batches):
-            joined = [b" ".join(t) for t in texts]
-            scores = mixer.value.log10(joined)
+        for keys, texts, scores in _blocks(batches, parts, codes.value):
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             numbers = _Numbers()
             word = np.fromiter(map(numbers.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
@@ -424,7 +630,7 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                  pa.array([k[2] for k in keys], pa.bool_()), pa.array(sizes + 1),
-                 pa.array([len(t) + 1 for t in joined], pa.int64()), pa.array(scores, pa.float64()),
+                 pa.array([sum(map(len, t)) + max(1, len(t)) for t in texts], pa.int64()), pa.array(scores, pa.float64()),
                  pa.array(np.bincount(doc, value[word], len(texts))),
                  pa.array(sizes - np.bincount(doc[others], minlength=len(texts))),
                  pa.ListArray.from_arrays(ends, pa.array(hashes[left % distinct], pa.int64())),
@@ -434,7 +640,7 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     shape = "row long, id long, held_out boolean, n_tokens long, bytes long, score double, head_sum double, head_n long"
     shape += ", rare array<long>, rare_times array<long>"
-    read_rows = stage(rows.mapInArrow(read, shape), "scored")
+    read_rows = stage(blocks.mapInArrow(read, shape), "scored")
     # Words of a small share, each once per text, meet the corpus counts.
     own_words = F.explode(F.arrays_zip("rare", "rare_times")).alias("own")
     rare = read_rows.select("row", own_words).select("row", F.col("own.rare").alias("word"), F.col("own.rare_times").alias("n"))

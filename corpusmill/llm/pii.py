@@ -1,7 +1,8 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contexts.
 
-Every text is searched for the four base kinds. Tokens with digits are remembered with the
-words before them; a token that a base match fills is a seed of its kind. Spark builds the
+Every text is searched for the four base kinds. Each whole match is remembered with the
+words before it as a seed of its kind; so are runs of tokens with digits that no match
+touches, as candidates. Spark builds the
 graph of lexical patterns and instances and scores both sides in turn: a pattern is worth
 the share of its occurrences that are worthy instances, an instance what its patterns say
 together. Instances that confident patterns surround become spans of the kind
@@ -15,6 +16,7 @@ result; other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,8 +37,9 @@ _COMPILED = {k: re.compile(p) for k, p in PATTERNS.items()}
 _NEEDED = {"email": "@", "ip": ".", "phone": "+"}
 _DIGIT = re.compile("[0-9]")
 # A token with a digit; what follows is cut from its end.
-_TOKEN = re.compile(r"(?<!\S)[^\s0-9]{0,64}[0-9]\S*")
+_TOKEN = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*")
 _TRAILING = ".,;:!?)\"']"
+_CLAUSE = ".,;:!?"
 MIN_TOKEN = 6
 ROUNDS = 4
 MIN_SEEDS = 3  # seeds that a pattern must surround
@@ -69,26 +72,53 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _patterns(text: str, start: int) -> list[str]:
+    """The last word and the last two words before ``start``."""
+    width, before = 128, []
+    while True:
+        before = text[max(0, start - width) : start].split()
+        # The first word of a window may be cut.
+        if width >= start or len(before) > 2:
+            break
+        width *= 4
+    before = [w.lower() for w in before[-2:]]
+    return [" ".join(before[-n:]) for n in (1, 2) if len(before) >= n]
+
+
 def tokens_in_context(text: str, spans: list[tuple[str, int, int]]) -> list[tuple]:
-    """``start, end, instance, patterns, kind`` of tokens with digits.
+    """``start, end, instance, patterns, kind`` of base matches and of candidates.
 
-    The patterns are the last word and the last two words before the token; the kind is
-    that of a base match that fills the token, or None when no base match touches it.
+    Base matches come whole, without those inside another one. Candidates are runs of
+    neighbouring tokens with digits that no base match touches, up to the end of a clause;
+    their kind is None. The patterns are the last word and the last two words before.
     """
-    out = []
+    seeds: list[tuple[str, int, int]] = []
+    for s in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if not seeds or s[2] > seeds[-1][2]:
+            seeds.append(s)
+    starts = [a for _, a, _ in seeds]
+    runs: list[tuple[int, int]] = []
+    closed = True
     for m in _TOKEN.finditer(text):
-        start, token = m.start(), m.group().rstrip(_TRAILING)
-        end = start + len(token)
-        if len(token) < MIN_TOKEN or len(token) > 256:
+        start, end = m.span()
+        last = bisect_left(starts, end) - 1
+        if last >= 0 and seeds[last][2] > start:
+            closed = True
             continue
-        touching = [s for s in spans if s[1] < end and start < s[2]]
-        kind = next((k for k, a, b in touching if a <= start and end <= b), None)
-        if touching and kind is None:
-            continue
-        before = text[max(0, start - 128) : start].lower().split()[-2:]
-        patterns = [" ".join(before[-n:]) for n in (1, 2) if len(before) >= n]
-        out.append((start, end, token.lower(), patterns, kind))
-    return out
+        if not closed and text[runs[-1][1] : start].isspace():
+            runs[-1] = (runs[-1][0], end)
+        else:
+            runs.append((start, end))
+        closed = text[end - 1] in _CLAUSE
+    found = [(a, b, kind) for kind, a, b in seeds]
+    for start, end in runs:
+        kept = len(text[start:end].rstrip(_TRAILING))
+        if kept >= MIN_TOKEN:
+            found.append((start, start + kept, None))
+    return [
+        (start, end, " ".join(text[start:end].lower().split()), _patterns(text, start), kind)
+        for start, end, kind in sorted(found, key=lambda x: x[:2])
+    ]
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

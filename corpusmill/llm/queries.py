@@ -17,6 +17,7 @@ from corpusmill.llm import (
     splitters,
     token_files,
     toxicity,
+    vector_queries,
     warc,
 )
 
@@ -132,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_context_mixing": op8_context_mixing,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
+    **vector_queries.QUERIES,
 }
 
 ORACLES: dict[str, str] = {
@@ -152,4 +154,5 @@ SELECT page_id, payload_bytes,
     CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM hashed
 """,
+    **vector_queries.ORACLES,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import part_trie, pivot_means
+from corpusmill.llm import hash_forest, part_trie, pivot_means
 from corpusmill.plans.staging import stage
 
 PARTS, ENTRIES, BOOK_ROUNDS = 16, 64, 2
@@ -16,6 +16,12 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
 
+def op11_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asks = F.col("vec_id") % 20 == 0
+    found = hash_forest.nearest(_vectors(spark, sf_dir), "vec_id", "embedding", asks, 20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op12_part_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, books = part_trie.coded(_vectors(spark, sf_dir), "vec_id", "embedding", "label", PARTS, ENTRIES, BOOK_ROUNDS)
     found = part_trie.with_label_error(stage(found, "coded"))
@@ -122,5 +128,5 @@ FROM found JOIN digests ON cluster = c""")
     return "".join(text)
 
 
-QUERIES = {"op12_part_trie": op12_part_trie, "op13_laesa": op13_laesa}
+QUERIES = {"op11_hash_forest": op11_hash_forest, "op12_part_trie": op12_part_trie, "op13_laesa": op13_laesa}
 ORACLES = {"op12_part_trie": _codes_sql(), "op13_laesa": _clusters_sql()}

@@ -47,10 +47,10 @@ from pyspark.sql import types as T
 from corpusmill.llm.integer_vectors import chunks, finite
 from corpusmill.plans.staging import broadcast_if_small, stage
 
-TREES = 28
+TREES = 26
 SYMBOLS = 8
-FACETS = 32
-BLOCK = 4096
+FACETS = 16
+BLOCK = 16_384
 PORTION = 4096
 SAMPLE = 256
 RECALL = 0.94
@@ -394,7 +394,7 @@ def nearest(df: DataFrame, id_col: str, vector_col: str, asks: Column, k: int =
             step = np.ascontiguousarray(packed[:, :8]).view("<f8").ravel()
             codes = packed[:, 8:].astype(np.float32)
             columns = np.arange(len(nodes))
-            for begin in range(0, queries.num_rows, 512):
+            for begin in range(0, queries.num_rows, 256):
                 part = queries.slice(begin, 512)
                 code, own_step = _bytes(_dense(part.column("asked").combine_chunks(), size))
                 low, high = (part.column(c).to_numpy()[:, None] for c in ("low", "high"))

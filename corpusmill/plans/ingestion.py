@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import keys
+from corpusmill.functions.text import stored_size
 from corpusmill.operators import control, quota, reconcile, sharding
 from corpusmill.operators.manifest import manifest_json, run_manifest
 from corpusmill.operators.registry import require_valid, source_plan
@@ -35,9 +36,10 @@ from corpusmill.schemas import (
     TRANSITIONS,
 )
 from corpusmill.sources import shards as shard_files
-from corpusmill.sources.datasets import dataset_records, read_numbered
-from corpusmill.sources.lines import require_one_file, scan_lines
+from corpusmill.sources.datasets import read_numbered, soft_payload, text_column
+from corpusmill.sources.lines import require_plain_file
 from corpusmill.sources.manifests import manifest_records
+from corpusmill.sources.ranges import listed_files, read_lines
 
 # Positions of two-level sources: file index above, record index below.
 _FILE_SHIFT = 40
@@ -177,26 +179,58 @@ def publish_manifest(tables: ControlTables, run_id: str, settings: Settings) ->
     return shard_files.write_objects(objects, settings.bucket_root).first()["object_key"]
 
 
-def source_records(spark: SparkSession, source: Row, settings: Settings) -> DataFrame:
-    """A configured source as ``source_id, pos, payload``; ``pos`` is also its cursor."""
+def source_records(
+    spark: SparkSession, source: Row, settings: Settings, after: int = 0, max_bytes: int | None = None
+) -> DataFrame:
+    """A configured source as ``source_id, pos, payload``; ``pos`` is also its cursor.
+
+    Records up to the position ``after`` are left out, and what lies well behind
+    ``max_bytes`` stored bytes from there is not read. A dataset's missing text is a NULL
+    payload, an error only for those who keep the record.
+    """
     kind, name = source["source_type"], F.lit(source["source_id"])
     if kind in settings.readers:
-        return settings.readers[kind](spark, source, settings)
+        return settings.readers[kind](spark, source, settings).where(F.col("pos") > after)
     if kind == "huggingface_dataset":
-        rows = read_numbered(spark, source["source_url"])
-        for column, value in (("config", source["dataset_config"]), ("split", source["split"])):
-            if value is not None and column in rows.columns:
-                rows = rows.where(F.col(column) == value)
-        return dataset_records(rows, name, F.col("pos"))
+        chosen = _selection(spark, source)
+        payload = soft_payload(text_column(spark.read.parquet(source["source_url"])))
+        rows = read_numbered(
+            spark, source["source_url"], after=after, max_bytes=max_bytes, size=stored_size(payload), where=chosen
+        )
+        return rows.where(chosen).select(name.alias("source_id"), F.col("pos").cast("bigint").alias("pos"), payload.alias("payload"))
     if kind in ("filesystem", "http_lines"):
-        require_one_file(spark, source["source_url"])
-        lines = scan_lines(spark, source["source_url"])
+        files = listed_files(spark, source["source_url"])
+        require_plain_file(files, source["source_url"])
+        lines = read_lines(spark, files, start_offset=after, max_bytes=max_bytes)
         return lines.select(name.alias("source_id"), F.col("end_offset").alias("pos"), "payload")
     if kind == "dolma_manifest":
-        rows = manifest_records(spark, source["source_url"], dict(settings.mirror))
+        rows = manifest_records(
+            spark,
+            source["source_url"],
+            dict(settings.mirror),
+            after_file=after >> _FILE_SHIFT,
+            after_record=after & ((1 << _FILE_SHIFT) - 1),
+            max_bytes=max_bytes,
+        )
         pos = F.shiftleft(F.col("file_index").cast("bigint"), _FILE_SHIFT) + F.col("record_index")
         return rows.select(name.alias("source_id"), pos.alias("pos"), "payload")
-    raise ValueError(f"unsupported source type: {kind}")
+    raise ValueError(f"no reader for sources of type {kind}")
+
+
+def _selection(spark: SparkSession, source: Row):
+    """The rows of the configured part of a dataset; a part that cannot be told apart fails.
+
+    The split that a dataset without splits has is named ``train``.
+    """
+    columns = spark.read.parquet(source["source_url"]).columns
+    chosen = F.lit(True)
+    for column, value, whole in (("config", source["dataset_config"], None), ("split", source["split"], "train")):
+        if value is None or (column not in columns and value == whole):
+            continue
+        if column not in columns:
+            raise ValueError(f"dataset has no column {column} to select {value} by: {source['source_url']}")
+        chosen = chosen & F.coalesce(F.col(column) == value, F.lit(False))
+    return chosen
 
 
 def cursor_of(source_type: str, pos: int) -> dict:
@@ -223,12 +257,16 @@ def _ingest(
     spark, kind, name = tables.spark, source["source_type"], source["source_id"]
     cursor = position_of(json.loads(state["checkpoint"]))
     remaining = source["max_bytes"] - state["verified_bytes"]
-    records = source_records(spark, source, settings).where(F.col("pos") > cursor)
-    sized = quota.sized_records(records, "source_id", "pos", F.col("payload"))
+    records = source_records(spark, source, settings, cursor, remaining)
+    # A record without a text is an error when it is reached before the quota is used up.
+    present = records.withColumn("missing", F.col("payload").isNull())
+    sized = quota.sized_records(present, "source_id", "pos", F.coalesce("payload", F.lit("")), "missing")
     kept = stage(quota.quota_prefix(sized, remaining), "kept")
+    if not kept.where("missing").isEmpty():
+        raise ValueError("a record has no text that is a string")
     oversize = sharding.oversize_records(kept, settings.maximum_bytes)
     if not oversize.isEmpty():
-        raise ValueError("single record exceeds maximum shard size")
+        raise ValueError("one record alone exceeds maximum shard size")
     borders = stage(
         sharding.shard_borders(kept, settings.target_bytes, settings.maximum_bytes), "borders"
     )
@@ -239,8 +277,9 @@ def _ingest(
         part = borders.where((number > first) & (number <= first + wave))
         # Records outside the wave are dropped before the payloads are shuffled.
         begin = F.min(F.coalesce("after_pos", F.lit(cursor)))
-        low, high = part.agg(begin, F.max("last_pos")).first()
-        within = records.where((F.col("pos") > low) & (F.col("pos") <= high))
+        low, high, size = part.agg(begin, F.max("last_pos"), F.sum("size_bytes")).first()
+        # A wave reads its own stretch of the source only.
+        within = source_records(spark, source, settings, low, size).where((F.col("pos") > low) & (F.col("pos") <= high))
         _store_and_commit(tables, within, part, settings, name, kind, run_id, version_id, ingestion_date, done)
         if pause_requested():
             return True

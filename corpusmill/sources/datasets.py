@@ -10,14 +10,19 @@ from corpusmill.functions.text import json_payload
 from corpusmill.plans.staging import broadcast_if_small, stage
 
 
-def text_payload(df: DataFrame, text_field: str = "text") -> Column:
-    """Each record as one-line JSON; a missing or non-string field is an error."""
+def text_column(df: DataFrame, text_field: str = "text") -> Column:
+    """The text field of a dataset; a dataset without one, or of another type, is an error."""
     if text_field not in df.columns:
-        raise ValueError(f"record is missing text field: {text_field}")
+        raise ValueError(f"dataset has no text field {text_field}")
     if not isinstance(df.schema[text_field].dataType, T.StringType):
-        raise ValueError(f"text field is not a string: {text_field}")
-    problem = F.raise_error(F.lit(f"text field is not a string: {text_field}")).cast("string")
-    text = F.col(text_field)
+        raise ValueError(f"{text_field} does not hold strings")
+    return F.col(text_field)
+
+
+def text_payload(df: DataFrame, text_field: str = "text") -> Column:
+    """Each record as one-line JSON; a missing or non-string field is an error."""
+    text = text_column(df, text_field)
+    problem = F.raise_error(F.lit(f"{text_field} does not hold strings")).cast("string")
     return F.when(text.isNull(), problem).otherwise(json_payload(text))
 
 
@@ -43,10 +48,26 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return rows.repartition(spark.sparkContext.defaultParallelism) if alone else rows
 
 
-def read_numbered(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+def soft_payload(text: Column) -> Column:
+    """Each record as one-line JSON; NULL for a missing text, which only counts if it is kept."""
+    return F.when(text.isNotNull(), json_payload(text))
+
+
+def read_numbered(
+    spark: SparkSession,
+    path: str,
+    file_format: str = "parquet",
+    after: int = 0,
+    max_bytes: int | None = None,
+    size: Column | None = None,
+    where: Column | None = None,
+) -> DataFrame:
     """A dataset with ``pos``, the number of the row in file order, counted from 1.
 
-    Files go by path; rows inside a file by the row index the parquet reader reports.
+    Files go by path; rows inside a file by the row index the parquet reader reports. Files
+    whose rows all come up to ``after`` are not read. With ``max_bytes``, files are measured
+    (``size`` of the rows that ``where`` selects) in groups that double, until the limit is
+    passed; the files behind are not read either.
     """
     if file_format != "parquet":
         raise ValueError("row numbers need a parquet dataset; pass a position column instead")
@@ -64,9 +85,26 @@ def read_numbered(spark: SparkSession, path: str, file_format: str = "parquet")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("__before")
-    starts = stage(per_file.select("__file", before), "file_offsets")
-    return (
-        placed.join(broadcast_if_small(starts), "__file")
-        .withColumn("pos", F.col("__before") + F.col("__row") + 1)
-        .drop("__file", "__row", "__before")
-    )
+    starts = stage(per_file.select("__file", "rows", before), "file_offsets")
+    numbers = broadcast_if_small(starts.select("__file", "__before"))
+
+    def numbered(of: DataFrame) -> DataFrame:
+        with_file = of.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+        joined = with_file.join(numbers, "__file").withColumn("pos", F.col("__before") + F.col("__row") + 1)
+        return joined.where(F.col("pos") > after).drop("__file", "__row", "__before")
+
+    if not after and max_bytes is None:
+        return numbered(rows)
+    names = [r["__file"] for r in starts.where(F.col("__before") + F.col("rows") > after).orderBy("__file").select("__file").collect()]
+    if not names:
+        return numbered(rows).limit(0)
+    if max_bytes is not None:
+        have, upto = 0, 0
+        while upto < len(names) and have <= max_bytes:
+            group = names[upto : max(1, 2 * upto)]
+            chosen = numbered(spark.read.schema(rows.schema).option("basePath", path).parquet(*group))
+            chosen = chosen if where is None else chosen.where(where)
+            have += chosen.agg(F.sum(size)).first()[0] or 0
+            upto += len(group)
+        names = names[:upto]
+    return numbered(spark.read.schema(rows.schema).option("basePath", path).parquet(*names))

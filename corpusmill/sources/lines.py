@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,10 +70,17 @@ def scan_lines(
 
 
 def require_one_file(spark: SparkSession, paths: str | list[str]) -> None:
-    """One byte offset can stand for one file only."""
-    files = spark.read.text(paths).inputFiles()
+    """The paths must name one plain file."""
+    require_plain_file(list(enumerate(spark.read.text(paths).inputFiles())), paths)
+
+
+def require_plain_file(files: list[tuple[int, str]], paths: str | list[str]) -> None:
+    """One byte offset can stand for one plain file only."""
     if len(files) > 1:
         raise ValueError(f"a byte offset needs a source of one file, found {len(files)}: {paths}")
+    for _, path in files:
+        if re.search(_COMPRESSED, path.lower()):
+            raise ValueError(f"a compressed file has no line offsets: {path}")
 
 
 def resume_lines(lines: DataFrame, byte_offset: int) -> DataFrame:

@@ -163,8 +163,8 @@ def lines_of(split: Range, compressed: bool, max_bytes: int | None, max_records:
     files, path = open_folder(split.file)
     done, records, size = split.file_records, split.records_before, split.bytes_before
     left = split.skipped
-    with files.open_input_file(path) as raw:
-        stream, at = (gzip.GzipFile(fileobj=raw), 0) if compressed else (raw, _enter(raw, split))
+    with _opened(files, path, compressed) as stream:
+        at = 0 if compressed else _enter(stream, split)
         stop = None if compressed else split.stop
         for data, base in _whole_lines(stream, at, stop):
             begin, end, after = _borders(data)
@@ -202,6 +202,16 @@ def lines_of(split: Range, compressed: bool, max_bytes: int | None, max_records:
                 return
 
 
+def _opened(files, path: str, compressed: bool):
+    """A plain file that can be entered anywhere, or a stream of what a compressed one holds."""
+    if not compressed:
+        return files.open_input_file(path)
+    if path.endswith(".gz"):
+        # A compressed file may consist of several members.
+        return gzip.GzipFile(fileobj=files.open_input_file(path))
+    return files.open_input_stream(path, compression="detect")
+
+
 def _enter(raw, split: Range) -> int:
     """The offset of the first line that begins in the range."""
     if split.entered or not split.start:

@@ -202,3 +202,32 @@ def test_lifecycle_stream_keeps_state_between_batches(spark, folder):
         ("b", 5): ("PENDING", True),
         ("b", 6): ("RUNNING", True),
     }
+
+
+def test_what_lies_behind_the_quota_is_not_looked_at(spark, folder):
+    tables, settings = setup(spark, folder)
+    settings = Settings(settings.store, target_bytes=30, maximum_bytes=60)
+    for i, texts in enumerate((["zero", "one"], ["two", None])):
+        spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1).write.parquet(f"{folder}/d/part={i}")
+    size = sum(len(json.dumps({"text": t})) + 1 for t in ("zero", "one", "two"))
+    sources = registry(
+        spark,
+        ("cut", "huggingface_dataset", f"{folder}/d", size - 1),
+        ("broken", "huggingface_dataset", f"{folder}/d", size + 100),
+    )
+    done = run_ingestion(tables, sources, settings)
+    assert done["cut"] == "COMPLETED" and "no text" in done["broken"]
+    assert state(tables, "cut")["verified_bytes"] == size - len(json.dumps({"text": "two"})) - 1
+
+
+def test_a_dataset_without_the_configured_part_fails(spark, folder):
+    tables, settings = setup(spark, folder)
+    settings = Settings(settings.store, target_bytes=30, maximum_bytes=60)
+    spark.createDataFrame([("a", "train"), ("b", "test")], "text string, split string").write.parquet(f"{folder}/d")
+    spark.createDataFrame([("a",)], "text string").write.parquet(f"{folder}/e")
+    sources = registry(spark, ("d", "huggingface_dataset", f"{folder}/d", 100), ("e", "huggingface_dataset", f"{folder}/e", 100))
+    sources = sources.withColumn("split", F.when(F.col("source_id") == "e", "test").otherwise("test"))
+    done = run_ingestion(tables, sources, settings)
+    assert done["d"] == "COMPLETED" and "no column split" in done["e"]
+    stored = tables.read("shards").where("source_id = 'd'").collect()
+    assert [r["record_count"] for r in stored] == [1]

@@ -110,12 +110,12 @@ def test_payload_is_the_json_a_python_writer_gives(spark):
 
 
 def test_dataset_text_field_must_be_a_string(spark):
-    with pytest.raises(ValueError, match="missing text field"):
+    with pytest.raises(ValueError, match="no text field"):
         text_payload(spark.createDataFrame([(1,)], "a int"))
-    with pytest.raises(ValueError, match="not a string"):
+    with pytest.raises(ValueError, match="not hold strings"):
         text_payload(spark.createDataFrame([(1,)], "text int"))
     nulls = spark.createDataFrame([(None,)], "text string")
-    with pytest.raises(PySparkException, match="not a string"):
+    with pytest.raises(PySparkException, match="not hold strings"):
         nulls.select(text_payload(nulls)).collect()
 
 
@@ -192,3 +192,23 @@ def test_an_object_has_its_name_only_when_complete(folder):
     assert not os.path.exists(f"{folder}/a/b.txt")
     assert pending.publish() == 3
     assert os.listdir(f"{folder}/a") == ["b.txt"]
+
+
+def test_a_dataset_is_read_from_the_cursor_to_the_limit(spark, folder):
+    for i in range(6):
+        spark.createDataFrame([(f"text {i} {k}",) for k in range(3)], "text string").coalesce(1).write.parquet(f"{folder}/d/part={i}")
+    size = F.octet_length("text")
+    rows = read_numbered(spark, f"{folder}/d", after=4, max_bytes=20, size=size)
+    found = {r["pos"]: r["text"] for r in rows.collect()}
+    # Everything from the cursor to the limit is there, and whole files behind it are not.
+    assert min(found) == 5 and {5, 6, 7} <= found.keys() and max(found) < 18
+    assert all(found[p] == f"text {(p - 1) // 3} {(p - 1) % 3}" for p in found)
+    assert read_numbered(spark, f"{folder}/d", after=18, max_bytes=20, size=size).count() == 0
+
+
+def test_a_manifest_is_opened_from_the_cursor_on(spark, folder):
+    body = b"".join(b'{"text": "r%d"}\n' % k for k in range(4))
+    path = manifest(folder, [f"https://example.test/{k}.gz" for k in range(3)], {"0.gz": b"not json\n", "1.gz": body, "2.gz": body[:20] + b"\n[]\n"})
+    mirror = {"https://example.test": folder}
+    found = manifest_records(spark, path, mirror, after_file=1, after_record=2, max_bytes=36)
+    assert [(r["file_index"], r["record_index"]) for r in found.orderBy("file_index", "record_index").collect()] == [(1, 3), (1, 4)]

@@ -177,6 +177,33 @@ ORACLES: dict[str, str] = {
           WINDOW w AS (PARTITION BY o.source_id ORDER BY o.pos ROWS UNBOUNDED PRECEDING))
         WHERE end_offset <= {QUOTA} - coalesce(verified, 0)""",
     ),
+    "resume_byte_offset": _with(
+        *SHARDS,
+        f"""lines AS (
+          SELECT dense_rank() OVER (ORDER BY source_id, shard_sequence) - 1 AS file_index, payload, size,
+            row_number() OVER w AS n, CAST(sum(size) OVER w AS BIGINT) AS end_offset
+          FROM assigned
+          WINDOW w AS (PARTITION BY source_id, shard_sequence ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+        rest AS (
+          SELECT CAST(file_index AS INTEGER) AS file_index, end_offset, payload,
+            row_number() OVER w AS total_records, CAST(sum(size) OVER w AS BIGINT) AS total_bytes
+          FROM lines, (SELECT count(*) // 2 AS middle FROM shards)
+          WHERE file_index > middle OR (file_index = middle AND n > 1)
+          WINDOW w AS (ORDER BY file_index, n ROWS UNBOUNDED PRECEDING))""",
+        select=f"SELECT * FROM rest WHERE total_bytes <= {4 * QUOTA}",
+    ),
+    "resume_file_record": f"""WITH f AS (
+          SELECT greatest(4, (SELECT count(*) FROM documents) // 100000) AS files),
+        placed AS (SELECT doc_id % files AS n, doc_id, text FROM documents, f),
+        numbered AS (
+          SELECT CAST(n + (n // 2) AS INTEGER) AS file_index,
+            row_number() OVER (PARTITION BY n ORDER BY doc_id) AS record_index,
+            CAST(to_json({{'doc_id': doc_id, 'text': text}}) AS VARCHAR) AS payload
+          FROM placed)
+        SELECT file_index, record_index, payload FROM (
+          SELECT *, sum(strlen(payload) + 1) OVER (ORDER BY file_index, record_index ROWS UNBOUNDED PRECEDING) AS total
+          FROM numbered WHERE file_index > 1 OR (file_index = 1 AND record_index > 3))
+        WHERE total <= {4 * QUOTA}""",
     "quota_prefix": _with(
         SIZED, select="SELECT source_id, pos, size, end_offset, record_index FROM kept"
     ),
@@ -540,6 +567,9 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'packed data does not match metadata', metadata FROM cases
           WHERE blocks * (n + 1) * 4 <> ids * 4""",
     ),
+    "packed_read": _with(
+        TOKENS, BLOCKS, select="SELECT block_id, array_to_string(ids, ' ') AS ids FROM blocks"
+    ),
     "packed_file": _with(
         TOKENS,
         select=f"""SELECT 'train-' || printf('%06d', f + 1) || '.bin' AS object_key,

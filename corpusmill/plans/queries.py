@@ -34,8 +34,10 @@ from corpusmill.sources import tokens as token_files
 from corpusmill.sources.datasets import read_texts, text_payload
 from corpusmill.sources.lines import scan_lines
 from corpusmill.sources.manifests import manifest_records
+from corpusmill.sources.packed import read_packed, store_packed
+from corpusmill.sources.ranges import read_lines
 from corpusmill.streaming.ingest import ShardCommitter, run_until_paused, start_ingest
-from corpusmill.streaming.lifecycle import lifecycle_stream
+from corpusmill.streaming.lifecycle import StatusJudge, judge_stream
 
 QUOTA = 60_000
 TARGET = 16_384
@@ -252,7 +254,40 @@ def dataset_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", payload.alias("payload"), stored_size(payload).alias("size"))
 
 
+def resume_byte_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored shards as plain files, from behind the first line of the middle one to a quota."""
+    root = new_path(spark, "objects")
+    edges = borders(spark, sf_dir)
+    name = F.format_string("%s/shard-%06d.txt", "source_id", "shard_sequence")
+    written = shard_files.write_shards(
+        tagged(spark, sf_dir, edges), F.col("payload"), name, root, shard_files.task_count(edges)
+    )
+    # The names of the files, as a scan of them would list.
+    order = stage(written, "written").orderBy("source_id", "shard_sequence").select("object_key")
+    files = [(i, f"{root}/{r['object_key']}") for i, r in enumerate(order.collect())]
+    middle = len(files) // 2
+    cursor = read_lines(spark, files, first_file=middle, max_records=1).first()["end_offset"]
+    rest = read_lines(spark, files, first_file=middle, start_offset=cursor, max_bytes=4 * QUOTA)
+    return rest.select(
+        "file_index", "end_offset", "total_records", "total_bytes", F.col("payload").cast("string").alias("payload")
+    )
+
+
+def resume_file_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compressed files of a manifest, from behind the third record of the second one to a quota."""
+    listed, mirror = _stored_manifest(spark, sf_dir)
+    found = manifest_records(spark, listed, mirror, after_file=1, after_record=3, max_bytes=4 * QUOTA)
+    return found.withColumn("payload", F.col("payload").cast("string"))
+
+
 def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed, mirror = _stored_manifest(spark, sf_dir)
+    found = manifest_records(spark, listed, mirror)
+    return found.withColumn("payload", F.col("payload").cast("string"))
+
+
+def _stored_manifest(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
+    """Documents as compressed JSON lines, the manifest of the files, and where they lie."""
     docs = read(spark, sf_dir, "documents")
     folder = new_path(spark, "manifest")
     files = max(4, docs.count() // 100_000)
@@ -277,10 +312,7 @@ def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The manifest is one small file by definition: one line per listed file.
     listed = written.orderBy("n").select(entry.alias("value")).coalesce(1)
     listed.write.text(f"{folder}/list")
-    found = manifest_records(
-        spark, f"{folder}/list", {"https://example.test/": f"{folder}/data"}
-    )
-    return found.withColumn("payload", F.col("payload").cast("string"))
+    return f"{folder}/list", {"https://example.test/": f"{folder}/data"}
 
 
 def resume_from_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -779,6 +811,13 @@ def packed_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.select("object_key", "size_bytes", "record_count", "stored_size_bytes")
 
 
+def packed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks stored as binary files and read back from them."""
+    root = new_path(spark, "packed")
+    store_packed(blocks(spark, sf_dir), root, "train", SEQUENCE_LENGTH, VOCAB_SIZE, 1_000)
+    return read_packed(spark, root, "train").select("block_id", joined("ids"))
+
+
 def shifted_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     examples = packing.shifted_examples(blocks(spark, sf_dir), SEQUENCE_LENGTH)
     return examples.select("block_id", joined("inputs"), joined("targets"))
@@ -873,17 +912,9 @@ def stream_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lifecycle_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = lifecycle_stream(stream_of_events(spark, sf_dir))
-    out = new_path(spark, "judged")
-    query = (
-        judged.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", new_path(spark, "progress"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(judged.schema).parquet(out)
+    judge = StatusJudge(spark, new_path(spark, "lifecycle"))
+    judge_stream(stream_of_events(spark, sf_dir), judge, new_path(spark, "progress")).awaitTermination()
+    return judge.verdicts()
 
 
 def graceful_pause(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -902,6 +933,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dataset_text_scan": dataset_text_scan,
     "manifest_scan": manifest_scan,
     "resume_from_cursor": resume_from_cursor,
+    "resume_byte_offset": resume_byte_offset,
+    "resume_file_record": resume_file_record,
     "quota_prefix": quota_prefix,
     "record_limit": record_limit,
     "source_plan": source_plan,
@@ -954,6 +987,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pack_metadata": pack_metadata,
     "pack_check": pack_check,
     "packed_file": packed_file,
+    "packed_read": packed_read,
     "shifted_examples": shifted_examples,
     "sequential_batches": sequential_batches,
     "weighted_perplexity": weighted_perplexity,

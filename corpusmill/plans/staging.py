@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +38,31 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call gets."""
-    return f"{qualified(spark, shared_folder(spark))}/corpusmill/{name}-{uuid4().hex}"
+    path = f"{qualified(spark, shared_folder(spark))}/corpusmill/{name}-{uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
+# Paths handed out inside the open scratch blocks, innermost last.
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end: nothing made of them may be read later."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, with the settings Spark itself reads and writes it with."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

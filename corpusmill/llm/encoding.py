@@ -17,9 +17,11 @@ import re
 
 import numpy as np
 
-CACHED_PIECES = 1 << 20  # pieces a worker keeps; the cache starts anew beyond them
+from corpusmill.functions.worker import worker_cache
+
+CACHED_PIECES = 1 << 19  # pieces a worker keeps; the cache starts anew beyond them
 JOINED = 4096  # new pieces encoded in one call
-CACHED_IDS = 1 << 23  # ids a worker keeps
+CACHED_IDS = 1 << 22  # ids a worker keeps
 
 _ODD = re.compile(r" (?:\s|(?<=\s ))")
 _LINE = re.compile(r"(?<=\S)(\n)(?=\S)")
@@ -42,16 +44,13 @@ def _plain(text: str) -> bool:
 
 
 class PieceEncoder:
-    """Encodes texts to flat id arrays; one per Python worker, vocabulary file and reading."""
-
-    _own: dict[tuple[str, bool], PieceEncoder] = {}
+    """Encodes texts to flat id arrays; a Python worker keeps the last one for its next tasks."""
 
     def __init__(self, path: str, added_tokens: bool = False) -> None:
         """``added_tokens``: recognise the vocabulary's added tokens, the library's default."""
         from tokenizers import Tokenizer
 
-        self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = not added_tokens
+        self._path, self._plain_reading, self._library = path, not added_tokens, None
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         spec = json.loads(self._tokenizer.to_str())
@@ -76,9 +75,21 @@ class PieceEncoder:
 
     @classmethod
     def of(cls, path: str, added_tokens: bool = False) -> PieceEncoder:
-        if (path, added_tokens) not in cls._own:
-            cls._own[path, added_tokens] = cls(path, added_tokens)
-        return cls._own[path, added_tokens]
+        kept = worker_cache("encoder")
+        if (path, added_tokens) not in kept:
+            kept.clear()
+            kept[path, added_tokens] = cls(path, added_tokens)
+        return kept[path, added_tokens]
+
+    @property
+    def _whole(self):
+        """The library's own reading, which few texts need."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self._path)
+            self._library.encode_special_tokens = self._plain_reading
+        return self._library
 
     def _clear(self) -> None:
         self._known = _Numbers()
@@ -111,8 +122,13 @@ class PieceEncoder:
             self._clear()
         number = self._known.__getitem__
         cut = [pieces_of(t) for t in texts]
-        numbers = [np.fromiter(map(number, pieces), np.int64, len(pieces)) for pieces in cut]
-        self._learn()
+        try:
+            numbers = [np.fromiter(map(number, pieces), np.int64, len(pieces)) for pieces in cut]
+            self._learn()
+        except BaseException:
+            # Pieces with a number but without ids must not outlive this task.
+            self._clear()
+            raise
         return [self._gathered(at)[0] for at in numbers]
 
     def _learn(self) -> None:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions.text import json_payload
 from corpusmill.plans.staging import broadcast_if_small, stage
+from corpusmill.sources.files import open_folder
 
 
 def text_column(df: DataFrame, text_field: str = "text") -> Column:
@@ -41,11 +43,23 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """A parquet dataset of texts, scanned with the split sizes of the caller's session.
 
     A file of a single row group, which no split size can divide, is dealt out once; it is
-    at most one task's work. Anything with more than one scan task is left as it is.
+    at most one task's work, even where the scan has more (then empty) tasks. Anything else
+    is left as it is.
     """
     rows = spark.read.parquet(path)
-    alone = rows.rdd.getNumPartitions() == 1
-    return rows.repartition(spark.sparkContext.defaultParallelism) if alone else rows
+    return rows.repartition(spark.sparkContext.defaultParallelism) if _undivided(rows) else rows
+
+
+def _undivided(rows: DataFrame) -> bool:
+    """Whether all rows are one row group; files of other stores are judged by their tasks."""
+    files = rows.inputFiles()
+    if len(files) != 1:
+        return False
+    if not files[0].startswith("file:"):
+        return rows.rdd.getNumPartitions() == 1
+    store, plain = open_folder(files[0])
+    with store.open_input_file(plain) as held:
+        return pq.ParquetFile(held).num_row_groups <= 1
 
 
 def soft_payload(text: Column) -> Column:

@@ -3,8 +3,9 @@
 Bits that vary together are grouped into partitions. Thresholds per partition, with a sum
 of ``distance - partitions + 1`` (a partition of -1 is skipped), are chosen by dynamic
 programming over estimated probes and candidates; any allocation finds every pair, so the
-sample that the estimates come from cannot lose one. Each fingerprint probes the codes
-within the threshold of its own, and every candidate is verified on all bits.
+sample that the estimates come from cannot lose one. A threshold is shared between both
+sides: a fingerprint is held under the codes within half of it and asks for those within
+the rest, so two codes within the threshold meet. Every candidate is verified on all bits.
 
 Equal fingerprints are one node. A code shared by very many different fingerprints is
 compared in blocks of bounded size, of which only a spanning forest of links is kept.
@@ -31,8 +32,10 @@ from corpusmill.plans.staging import stage
 BITS = 64
 SEED = 42
 SAMPLE = 2048  # fingerprints that the layout is fitted on
-PROBE_COST = 1.0
-CANDIDATE_COST = 0.15
+# Measured costs of a probe and a candidate: for equal codes, which are compared in arrays,
+# and for codes within a threshold, which are joined.
+EQUAL_COSTS = 1.0, 0.007
+NEAR_COSTS = 0.5, 0.05
 DIRECT_PAIRS = 1 << 18  # a code with more pairs is compared in blocks
 BLOCK = 1024
 
@@ -130,11 +133,12 @@ def _allocated(
         apart = own @ (1 - own.T) + (1 - own) @ own.T
         seen = np.bincount(apart.ravel(), minlength=len(group) + 1).cumsum() - len(own)
         pairs = max(len(own) * (len(own) - 1), 1)
-        probes, row = 0, [0.0]
+        row = [0.0]
         for t in range(distance + 1):
-            probes += comb(len(group), t) if t <= len(group) else 0
-            share = max(seen[min(t, len(group))] / pairs, probes / 2.0 ** len(group))
-            row.append(total * (PROBE_COST * probes + CANDIDATE_COST * share * total))
+            asked, held = _ball(len(group), t - t // 2), _ball(len(group), t // 2)
+            share = max(seen[min(t, len(group))] / pairs, asked * held / 2.0 ** len(group))
+            probe, candidate = NEAR_COSTS if t else EQUAL_COSTS
+            row.append(total * (probe * asked + candidate * share * total))
         costs.append(row)
     # Thresholds start at -1, so the steps above it add up to distance + 1.
     table = {0: (0.0, [])}
@@ -149,6 +153,10 @@ def _allocated(
     return table[distance + 1]
 
 
+def _ball(width: int, radius: int) -> int:
+    return sum(comb(width, k) for k in range(radius + 1))
+
+
 # --- links -----------------------------------------------------------------------
 
 
@@ -164,38 +172,52 @@ def links(nodes: DataFrame, distance: int) -> DataFrame:
     sample = np.array([r["fp"] for r in rows], np.int64).view(np.uint64)
     plan = layout(sample, total, distance)
 
-    def codes(batches: Iterator[pa.RecordBatch], radius: bool) -> Iterator[pa.RecordBatch]:
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch.column(0).to_numpy().view(np.uint64)
             for part, (bits, threshold) in enumerate(plan):
                 code = own & np.uint64(sum(1 << b for b in bits))
-                for t in range(threshold + 1 if radius else 1):
+                for t in range(threshold - threshold // 2 + 1):
+                    held = pa.array(np.full(len(own), t <= threshold // 2))
                     for flips in combinations(bits, t):
-                        probe = code ^ np.uint64(sum(1 << b for b in flips))
+                        near = code ^ np.uint64(sum(1 << b for b in flips))
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(own), part, np.int32)), pa.array(probe.view(np.int64)), batch.column(0)],
-                            ["part", "code", "fp"],
+                            [pa.array(np.full(len(own), part, np.int32)), pa.array(near.view(np.int64)), held, batch.column(0)],
+                            ["part", "code", "held", "fp"],
                         )
 
-    schema = "part int, code long, fp long"
-    index = nodes.select("fp").mapInArrow(lambda b: codes(b, False), schema)
-    probes = nodes.select("fp").mapInArrow(lambda b: codes(b, True), schema)
-
-    sizes = index.groupBy("part", "code").agg(F.count(F.lit(1)).alias("held"))
-    # Only codes that hold over sqrt(DIRECT_PAIRS) can have so many pairs: there are few.
-    large = stage(sizes.where(F.col("held") > int(DIRECT_PAIRS**0.5) // 8), "codes")
-    asked = probes.join(_small(large), ["part", "code"]).groupBy("part", "code", "held")
-    asked = asked.agg(F.count(F.lit(1)).alias("asked"))
-    heavy = stage(asked.where(F.col("held") * F.col("asked") > DIRECT_PAIRS), "heavy")
-    if heavy.isEmpty():
-        return _direct(index, probes, distance)
-    marked = _small(heavy.select("part", "code"))
-    direct = _direct(
-        index.join(marked, ["part", "code"], "left_anti"),
-        probes.join(marked, ["part", "code"], "left_anti"),
-        distance,
+    # Every entry asks for its code; those with ``held`` are found under it.
+    entries = nodes.select("fp").mapInArrow(codes, "part int, code long, held boolean, fp long")
+    entries = stage(entries, "entries")
+    near = [part for part, (_, threshold) in enumerate(plan) if threshold]
+    masks = [np.uint64(sum(1 << b for b in bits)).view(np.int64) for bits, _ in plan]
+    own = [F.struct(F.lit(k).alias("part"), F.col("fp").bitwiseAND(F.lit(int(m))).alias("code")) for k, m in enumerate(masks)]
+    shared = nodes.select(F.inline(F.array(*own))).groupBy("part", "code").agg(F.count(F.lit(1)).alias("n"))
+    large = stage(shared.where(F.col("n") > int(DIRECT_PAIRS**0.5) // 8).select("part", "code"), "large")
+    if large.isEmpty():
+        return _direct(entries, near, distance)
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, near = (c.to_numpy() for c in batch.columns)
+            for part, (bits, threshold) in enumerate(plan):
+                code = near[parts == part].view(np.uint64)
+                for t in range(threshold - threshold // 2 + 1):
+                    for flips in combinations(bits, t):
+                        there = (code ^ np.uint64(sum(1 << b for b in flips))).view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), part, np.int32)), pa.array(there)], ["part", "code"])
+
+    # Only codes near a large one can be asked for very often; such a code goes its own way
+    # even if nobody is held there.
+    busy = stage(large.mapInArrow(around, "part int, code long").distinct(), "busy")
+    sizes = entries.join(_small(busy), ["part", "code"]).groupBy("part", "code").agg(
+        F.sum(F.col("held").cast("long")).alias("held"), F.count(F.lit(1)).alias("asked")
     )
-    return direct.unionByName(_blocked(index, probes, heavy, distance))
+    heavy = stage(sizes.where(F.greatest("held", F.lit(1)) * F.col("asked") > DIRECT_PAIRS), "heavy")
+    if heavy.isEmpty():
+        return _direct(entries, near, distance)
+    rest = entries.join(_small(heavy.select("part", "code")), ["part", "code"], "left_anti")
+    return _direct(rest, near, distance).unionByName(_blocked(entries, heavy.where("held > 0"), distance))
 
 
 def _small(staged: DataFrame) -> DataFrame:
@@ -203,19 +225,60 @@ def _small(staged: DataFrame) -> DataFrame:
     return F.broadcast(staged) if staged.count() <= 500_000 else staged
 
 
-def _direct(index: DataFrame, probes: DataFrame, distance: int) -> DataFrame:
-    other = index.withColumnRenamed("fp", "b")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("b"))) <= distance
-    found = probes.join(other, ["part", "code"]).where((F.col("fp") < F.col("b")) & near)
-    return found.select(F.col("fp").alias("a"), "b")
+def _direct(entries: DataFrame, near: list[int], distance: int) -> DataFrame:
+    """Links under the other codes; the parts ``near`` have thresholds above zero."""
+    equal = _met(entries.where(~F.col("part").isin(near)), distance)
+    wide = entries.where(F.col("part").isin(near))
+    held = wide.where("held").select("part", "code", F.col("fp").alias("b"))
+    linked = F.bit_count(F.col("fp").bitwiseXOR(F.col("b"))) <= distance
+    found = wide.join(held, ["part", "code"]).where((F.col("fp") < F.col("b")) & linked)
+    return equal.unionByName(found.select(F.col("fp").alias("a"), "b"))
+
 
+def _met(entries: DataFrame, distance: int) -> DataFrame:
+    """Links of those who share a code, code by code in sorted order."""
 
-def _blocked(index: DataFrame, probes: DataFrame, heavy: DataFrame, distance: int) -> DataFrame:
-    """Links inside heavy codes: every block of members against every block of probes."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Those under the code that the last batch ended in.
+        last, waiting = None, np.zeros(0, np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part, code, fp = (c.to_numpy() for c in batch.columns)
+            change = np.flatnonzero((part[1:] != part[:-1]) | (code[1:] != code[:-1])) + 1
+            begins = np.concatenate([[0], change])
+            early = waiting if last == (part[0], code[0]) else waiting[:0]
+            pool = np.concatenate([early, fp])
+            first = np.repeat([0, *(change + len(early))], np.diff([*begins, len(fp)]))
+            for row, place in _before(np.arange(len(early), len(pool)), first):
+                a, b = pool[row], pool[place]
+                near = np.bitwise_count((a ^ b).view(np.uint64)) <= distance
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[near]), pa.array(np.maximum(a, b)[near])], ["a", "b"])
+            waiting = pool if len(begins) == 1 else fp[begins[-1] :]
+            last = part[-1], code[-1]
+
+    together = entries.repartition("part", "code").sortWithinPartitions("part", "code")
+    return together.select("part", "code", "fp").mapInArrow(compare, "a long, b long")
+
+
+def _before(rows: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each row with every place from its ``first`` to the one before it, in bounded pieces."""
+    total = np.cumsum(rows - first)
+    at = 0
+    while at < len(rows):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20), "right")))
+        times = (rows - first)[at:to]
+        step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        yield np.repeat(rows[at:to], times), np.repeat(first[at:to], times) + step
+        at = to
+
+
+def _blocked(entries: DataFrame, heavy: DataFrame, distance: int) -> DataFrame:
+    """Links under heavy codes: every block of the held against every block of those who ask."""
     key = ["part", "code"]
 
     def blocks(rows: DataFrame, count: str, name: str) -> DataFrame:
-        own = rows.join(_small(heavy), key)
+        own = rows.drop("held").join(_small(heavy), key)
         number = F.pmod(F.xxhash64("fp", F.lit(7)), F.ceil(F.col(count) / BLOCK)).alias(name)
         # About BLOCK fingerprints a block: the hash spreads a code over its blocks.
         return own.select(*key, number, "fp").groupBy(*key, name).agg(F.collect_list("fp").alias(f"{name}s"))
@@ -223,8 +286,9 @@ def _blocked(index: DataFrame, probes: DataFrame, heavy: DataFrame, distance: in
     numbers = lambda c: F.explode(F.sequence(F.lit(0), F.ceil(F.col(c) / BLOCK) - 1))
     pairs = heavy.withColumn("held_by", numbers("held")).withColumn("asked_by", numbers("asked"))
     pairs = pairs.select(*key, "held_by", "asked_by").repartition("part", "code", "held_by", "asked_by")
-    joined = pairs.join(blocks(index, "held", "held_by"), [*key, "held_by"])
-    joined = joined.join(blocks(probes, "asked", "asked_by"), [*key, "asked_by"])
+    held = blocks(entries.where("held"), "held", "held_by")
+    joined = pairs.join(held, [*key, "held_by"])
+    joined = joined.join(blocks(entries, "asked", "asked_by"), [*key, "asked_by"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

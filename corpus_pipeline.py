@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import bin_completion, fm_index, pii, queries, simhash, toxicity
@@ -12,37 +12,62 @@ from corpusmill.plans.staging import stage
 ORACLE_SQL = None
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and a struct ``others``, so that no other column's name can clash."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*[_column(c) for c in others]).alias("others"))
+
+
+def _restored(apart: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    own = ("doc_id", "text")
+    return apart.select(*[F.col(c) if c in own else _column("others", c).alias(c) for c in docs.columns])
+
+
+def _column(*names: str) -> Column:
+    return F.col(".".join("`" + n.replace("`", "``") + "`" for n in names))
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Written rows with a number ``row``, so that decisions do not hang on ``doc_id``."""
+    return stage(_apart(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain finds toxic go."""
-    scored = queries.toxicity_scores(spark, docs, queries.read(spark, sf_dir, "labels"))
-    return scored.where(~F.col("is_toxic")).select(docs.columns)
+    scored = queries.toxicity_scores(spark, _apart(docs), queries.read(spark, sf_dir, "labels"))
+    return _restored(scored.where(~F.col("is_toxic")), docs)
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays.
 
-    Documents without an id cannot be told apart and stay.
+    A document without an id stays only where no other one of its group has an id; of rows
+    that repeat the smallest id one stays.
     """
-    groups = simhash.near_groups(docs, "doc_id", "text")
-    gone = stage(groups.where(F.col("id") != F.col("component")).select("id").distinct(), "copies")
-    left = docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
-    # Rows that repeat the id that stays are copies too when they repeat the text.
-    return left.dropDuplicates(["doc_id", "text"])
+    numbered = _numbered(docs)
+    groups = simhash.near_groups(numbered, "row", "text").select("component", F.col("id").alias("row"))
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")
+    least = groups.join(numbered.select("row", "doc_id"), "row").groupBy("component").agg(F.min(order).alias("least"))
+    kept = stage(least.select("least.row"), "kept")
+    return _restored(numbered.join(kept, "row", "left_semi"), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth or more of their words in benchmark passages go."""
-    hits = fm_index.benchmark_hits(docs, queries.read(spark, sf_dir, "benchmark"))
-    bad = hits.where(fm_index.contaminated(F.col("n_hit"), F.col("n_words"))).select("id").distinct()
-    bad = stage(bad, "contaminated")
-    return docs.join(bad, docs["doc_id"] == bad["id"], "left_anti")
+    numbered = _numbered(docs)
+    texts = numbered.select(F.col("row").alias("doc_id"), "text")
+    hits = fm_index.benchmark_hits(texts, queries.read(spark, sf_dir, "benchmark"))
+    bad = hits.where(fm_index.contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("id").alias("row"))
+    return _restored(numbered.join(stage(bad, "contaminated"), "row", "left_anti"), docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; ``n_chars`` follows the new text."""
-    masked = pii.mask(docs, "doc_id", "text")
-    length = F.char_length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
-    return masked if length is None else masked.withColumn("n_chars", length).select(docs.columns)
+    masked = _restored(pii.mask(_apart(docs), "doc_id", "text"), docs)
+    if "n_chars" not in docs.columns:
+        return masked
+    return masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,6 +34,9 @@ PATTERNS = {
 }
 KINDS = (*PATTERNS, "context")
 _COMPILED = {k: re.compile(p) for k, p in PATTERNS.items()}
+# A match of these begins where a run of its characters begins, or fails from all of the run.
+_COMPILED["ip"] = re.compile("(?<![0-9])" + PATTERNS["ip"])
+_MAILBOX = re.compile(r"[A-Za-z0-9._%+-]+")
 _NEEDED = {"email": "@", "ip": ".", "phone": "+"}
 _DIGIT = re.compile("[0-9]")
 # A token with a digit; what follows is cut from its end.
@@ -62,13 +65,27 @@ def _accepted(kind: str, match: str) -> bool:
     return 13 <= count <= 19 and _luhn(re.sub("[^0-9]", "", match))
 
 
+def _matches(kind: str, text: str) -> Iterator[re.Match]:
+    """Leftmost matches that do not overlap, in time that grows with the text."""
+    if kind != "email":
+        yield from _COMPILED[kind].finditer(text)
+        return
+    at = 0
+    while run := _MAILBOX.search(text, at):
+        # Only a run that an at sign follows is tried, and once: what follows decides.
+        match = _COMPILED[kind].match(text, run.start()) if text.startswith("@", run.end()) else None
+        if match:
+            yield match
+        at = match.end() if match else run.end()
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """``kind, start, end`` in code points, by kind as listed and then by start."""
     out = []
     if _DIGIT.search(text) or "@" in text:
-        for kind, pattern in _COMPILED.items():
+        for kind in PATTERNS:
             if _NEEDED.get(kind, "") in text:
-                out += [(kind, m.start(), m.end()) for m in pattern.finditer(text) if _accepted(kind, m.group())]
+                out += [(kind, m.start(), m.end()) for m in _matches(kind, text) if _accepted(kind, m.group())]
     return out
 
 
@@ -209,14 +226,16 @@ def mask(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     more = stage(found_by_context(scanned), "pii-more")
     text = F.coalesce(text_col, F.lit(""))
     names = docs.columns
-    keyed = docs.withColumn("__key", F.xxhash64(text, F.length(text)))
-    joined = keyed.join(more.withColumnRenamed("text_key", "__key"), "__key", "left").drop("__key")
+    # Longer than any column of ``docs``, so neither name clashes.
+    key, extra = (n + "_" * max(map(len, names)) for n in ("key", "more"))
+    keyed = docs.withColumn(key, F.xxhash64(text, F.length(text)))
+    joined = keyed.join(more.withColumnsRenamed({"text_key": key, "more": extra}), key, "left").drop(key)
     place = names.index(text_col)
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, more in zip(batch.column(text_col), batch.column("more").to_pylist(), strict=True):
+            for text, more in zip(batch.column(text_col), batch.column(extra).to_pylist(), strict=True):
                 value = text.as_py()
                 if value is not None:
                     added = [(s["kind"], s["start"], s["end"]) for s in more or ()]

@@ -166,21 +166,28 @@ def train(
 
 
 def score(docs: DataFrame, models: list[Linear], names: Sequence[str], text_col: str) -> DataFrame:
-    """Add the chance of each category, as ``p_<name>``, to every row of ``docs``."""
+    """Add the chance of each category, as ``p_<name>``, to every row of ``docs``.
+
+    An extra column of such a name is replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(models)
+    added = [f"p_{n}" for n in names]
+    docs = docs.drop(*added)
     kept = docs.columns
+    # The last column is ours, whatever the others are called.
+    features = "features" + "_" * max(map(len, kept), default=0)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = _rows_of(batch.column("__features"))
+            rows = _rows_of(batch.column(features))
             chances = chain_chances(shared.value, rows) * (rows.counts > 0)[:, None]
             own = [batch.column(c) for c in kept] + [pa.array(chances[:, k]) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays(own, [*kept, *[f"p_{n}" for n in names]])
+            yield pa.RecordBatch.from_arrays(own, [*kept, *added])
 
     schema = T.StructType(list(docs.schema))
-    for n in names:
-        schema = schema.add(f"p_{n}", T.DoubleType())
-    return docs.withColumn("__features", feature_numbers(F.col(text_col))).mapInArrow(predict, schema)
+    for name in added:
+        schema = schema.add(name, T.DoubleType())
+    return docs.withColumn(features, feature_numbers(F.col(text_col))).mapInArrow(predict, schema)
 
 
 def categories() -> dict[str, Column]:

@@ -1,7 +1,9 @@
 """A content-addressed WARC archive: payloads once, record headers apart.
 
 ``write_archive`` stores each distinct payload under its SHA-256 and the exact header
-block of every record in a second table; ``read_archive`` joins both back to records.
+block of every record in a second table; ``read_archive`` joins both back to records, and
+``read_index`` reads those records: header fields, body by its length, revisits through
+the response they refer to.
 Payloads are checked against their digest whenever they are read, and a payload whose
 bytes differ from another one's under the same digest fails the write.
 
@@ -122,43 +124,68 @@ def _headers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The whole records: ``row`` and ``record``, the bytes as a WARC file holds them."""
-    body = F.when(_field("WARC-Type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    joined = _headers(spark, path).join(_payloads(spark, path), "digest")
-    return joined.select(
-        "row",
-        F.concat(F.col("header").cast("binary"), body, F.lit(RECORD_END).cast("binary")).alias("record"),
+    """The whole records: ``row`` and ``record``, the bytes as a WARC file holds them.
+
+    Only responses have a body, so a payload that many records share moves once.
+    """
+    headers = _headers(spark, path)
+    is_response = _field("header", "WARC-Type") == "response"
+    end = F.lit(RECORD_END).cast("binary")
+    whole = headers.where(is_response).join(_payloads(spark, path), "digest").select(
+        "row", F.concat(F.col("header").cast("binary"), F.col("payload"), end).alias("record")
     )
+    bare = headers.where(~is_response).select("row", F.concat(F.col("header").cast("binary"), end).alias("record"))
+    return whole.union(bare)
 
 
-def _field(name: str) -> Column:
-    return F.regexp_extract("header", rf"\r\n{name}: ([^\r]*)", 1)
+def _field(header: str, name: str) -> Column:
+    return F.regexp_extract(header, rf"\r\n{name}: ([^\r]*)", 1)
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """What the records say of themselves, with sizes and digests of the full payloads.
+def parse_records(records: DataFrame) -> DataFrame:
+    """Header fields of ``record`` and the size and digest of its body, read from its bytes.
 
-    Digests are taken from the stored bytes and must equal those in the headers.
+    A record whose length is not that of its header and ``Content-Length``, or a response
+    whose body has another digest than its header says, fails the query.
     """
-    sizes = _payloads(spark, path).select(
-        "digest",
-        F.length("payload").cast("bigint").alias("payload_bytes"),
-        base32_sha1(F.col("payload")).alias("payload_digest"),
+    text = F.col("record").cast("string")
+    headed = records.select("record", F.concat(F.substring_index(text, RECORD_END, 1), F.lit("\r\n")).alias("header"))
+    start = F.octet_length("header") + 2
+    size = _field("header", "Content-Length").cast("int")
+    sound = F.octet_length("record") == start + size + len(RECORD_END)
+    torn = F.raise_error(F.lit("a record's length is not what its header says")).cast("binary")
+    body = F.when(sound, F.substring("record", start + 1, size)).otherwise(torn)
+    parsed = headed.select(
+        _field("header", "WARC-Record-ID").alias("record_id"),
+        _field("header", "WARC-Type").alias("record_type"),
+        _field("header", "WARC-Refers-To").alias("target"),
+        F.substring(_field("header", "WARC-Payload-Digest"), 6, 32).alias("said"),
+        F.length(body).cast("bigint").alias("bytes"),
+        base32_sha1(body).alias("digest"),
     )
-    records = _headers(spark, path).select(
-        "digest",
-        _page(_field("WARC-Record-ID")).alias("page_id"),
-        _field("WARC-Type").alias("record_type"),
-        _page(_field("WARC-Refers-To")).alias("refers_to"),
-        F.substring(_field("WARC-Payload-Digest"), 6, 32).alias("said"),
-    )
-    wrong = F.raise_error(F.lit("a header's digest is not that of its payload"))
-    return records.join(sizes, "digest").select(
-        "page_id",
-        "payload_bytes",
-        F.when(F.col("said") == F.col("payload_digest"), F.col("said")).otherwise(wrong).alias("payload_digest"),
+    wrong = F.raise_error(F.lit("a header's digest is not that of its payload")).cast("string")
+    right = (F.col("record_type") != "response") | (F.col("said") == F.col("digest"))
+    return parsed.select("record_id", "record_type", "target", F.when(right, F.col("said")).otherwise(wrong).alias("said"), "bytes")
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """Each rebuilt record with the size and digest of its full payload.
+
+    A revisit has both from the response that it refers to; one without it fails the query.
+    """
+    records = stage(parse_records(read_archive(spark, path)), "records-read")
+    responses = records.where(F.col("record_type") == "response")
+    shared = responses.select(F.col("record_id").alias("target"), F.col("said").alias("own"), F.col("bytes").alias("full"))
+    revisits = records.where(F.col("record_type") != "response").join(shared, "target", "left")
+    astray = F.raise_error(F.lit("a revisit's response is missing or has another digest")).cast("bigint")
+    met = F.coalesce(F.col("said") == F.col("own"), F.lit(False))
+    resolved = revisits.withColumn("bytes", F.when(met, F.col("full")).otherwise(astray)).select(responses.columns)
+    return responses.union(resolved).select(
+        _page(F.col("record_id")).alias("page_id"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("said").alias("payload_digest"),
         "record_type",
-        "refers_to",
+        _page(F.col("target")).alias("refers_to"),
     )
 
 

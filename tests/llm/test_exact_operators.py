@@ -179,6 +179,23 @@ def test_damaged_payload_is_noticed(spark, folder):
         warc.read_index(spark, folder + "/b").collect()
 
 
+def test_torn_and_missing_records_are_noticed(spark, folder):
+    warc.write_archive(pages(spark, [(1, "a", "xy", "", 0), (2, "b", "xy", "", 0), (3, "c", "z\r\n\r\nz", "", 0)]), folder + "/a")
+    records = warc.read_archive(spark, folder + "/a")
+    assert sorted(r["bytes"] for r in warc.parse_records(records).collect()) == [0, 2, 6]
+    torn = records.withColumn("record", F.expr("substring(record, 1, octet_length(record) - 1)"))
+    with pytest.raises(Exception, match="length is not"):
+        warc.parse_records(torn).collect()
+    spark.read.parquet(folder + "/a/payloads").write.parquet(folder + "/c/payloads")
+    spark.read.parquet(folder + "/a/headers").where(~F.col("header").contains("page:2:")).write.parquet(folder + "/c/headers")
+    assert warc.read_index(spark, folder + "/c").count() == 1
+    bare = spark.read.parquet(folder + "/a/headers").where(~F.col("header").contains("-ID: <urn:page:2:"))
+    bare.write.parquet(folder + "/d/headers")
+    spark.read.parquet(folder + "/a/payloads").write.parquet(folder + "/d/payloads")
+    with pytest.raises(Exception, match="response is missing"):
+        warc.read_index(spark, folder + "/d").collect()
+
+
 @pytest.mark.parametrize("range_rows", [3, 200_000])
 def test_shards_are_whole_gapless_and_even(spark, range_rows):
     texts = [*TEXTS[:9], *["copy of one text"] * 150, *[f"text {k} " * (k % 9) for k in range(120)]]

@@ -1,12 +1,13 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contexts.
 
 Every text is searched for the four base kinds. Each whole match is remembered with the
-words before it as a seed of its kind; so are runs of tokens with digits that no match
-touches, as candidates. Spark builds the
-graph of lexical patterns and instances and scores both sides in turn: a pattern is worth
-the share of its occurrences that are worthy instances, an instance what its patterns say
-together. Instances that confident patterns surround become spans of the kind
-``context``, beside the base spans, which always stay.
+words before it as a seed of its kind; so are runs of tokens that look like identifiers
+(with a digit, an at sign or an underscore) and that no match touches, as candidates. Spark
+builds the graph of lexical patterns and instances and scores both sides in turn: a pattern
+that surrounds enough seeds is worth the share of its occurrences that are worthy
+instances, an instance what its patterns say together. An instance that confident patterns
+surround counts as a seed from then on, so it brings in patterns that no base match has.
+Such instances become spans of the kind ``context``, beside the base spans, which always stay.
 
 Defined results: a NULL text is empty; NULL ids and repeated rows are each answered; a
 text without matches has zero counts and an empty list; an empty table gives an empty
@@ -39,13 +40,13 @@ _COMPILED["ip"] = re.compile("(?<![0-9])" + PATTERNS["ip"])
 _MAILBOX = re.compile(r"[A-Za-z0-9._%+-]+")
 _NEEDED = {"email": "@", "ip": ".", "phone": "+"}
 _DIGIT = re.compile("[0-9]")
-# A token with a digit; what follows is cut from its end.
-_TOKEN = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*")
+# A token with a digit, an at sign or an underscore; what follows is cut from its end.
+_TOKEN = re.compile(r"(?<!\S)[^\s0-9@_]*+[0-9@_]\S*")
 _TRAILING = ".,;:!?)\"']"
 _CLAUSE = ".,;:!?"
 MIN_TOKEN = 6
 ROUNDS = 4
-MIN_SEEDS = 3  # seeds that a pattern must surround
+MIN_SEEDS = 3  # distinct seeds that a pattern must surround before it says anything
 CONFIDENT = 0.8
 
 
@@ -106,8 +107,8 @@ def tokens_in_context(text: str, spans: list[tuple[str, int, int]]) -> list[tupl
     """``start, end, instance, patterns, kind`` of base matches and of candidates.
 
     Base matches come whole, without those inside another one. Candidates are runs of
-    neighbouring tokens with digits that no base match touches, up to the end of a clause;
-    their kind is None. The patterns are the last word and the last two words before.
+    neighbouring tokens like identifiers that no base match touches, up to the end of a
+    clause; their kind is None. The patterns are the last word and the last two words before.
     """
     seeds: list[tuple[str, int, int]] = []
     for s in sorted(spans, key=lambda s: (s[1], -s[2])):
@@ -138,8 +139,12 @@ def tokens_in_context(text: str, spans: list[tuple[str, int, int]]) -> list[tupl
     ]
 
 
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, text_key, spans, tokens`` of every row; the key stands for the text."""
+    """``id, text_key, spans, tokens`` of every row; the key, a SHA-256, stands for the text."""
     token = "struct<start:int,end:int,instance:string,patterns:array<string>,kind:string>"
     span = "struct<kind:string,start:int,end:int>"
 
@@ -165,8 +170,8 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             )
 
     text = F.coalesce(text_col, F.lit(""))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text, F.length(text)).alias("text_key"), text.alias("text"))
-    return rows.mapInArrow(look, f"id long, text_key long, spans array<{span}>, tokens array<{token}>")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), _text_key(text).alias("text_key"), text.alias("text"))
+    return rows.mapInArrow(look, f"id long, text_key binary, spans array<{span}>, tokens array<{token}>")
 
 
 def confident_instances(scanned: DataFrame) -> DataFrame:
@@ -178,23 +183,23 @@ def confident_instances(scanned: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.max("kind").isNotNull().alias("seed")),
         "contexts",
     )
-    seeds = graph.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds"))
-    able = seeds.where(F.col("seeds") >= MIN_SEEDS).select("pattern")
-    edges = stage(graph.join(able, "pattern"), "contexts")
-    worth = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("worth"))
+    # A pattern with fewer instances never surrounds enough seeds, whatever they turn out to be.
+    able = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).where(F.col("instances") >= MIN_SEEDS)
+    edges = stage(graph.join(able.select("pattern"), "pattern"), "contexts")
+    # Base matches are worth 1 throughout; other instances are listed once a pattern speaks for them.
+    seeds = edges.where("seed").select("instance").distinct()
+    worth = stage(seeds.select("instance", F.lit(1.0).alias("worth"), F.lit(True).alias("seed")), "instances")
     for _ in range(ROUNDS):
-        weighed = edges.join(worth, "instance")
-        patterns = weighed.groupBy("pattern").agg(
-            (F.sum(F.col("n") * F.col("worth")) / (F.sum("n") + 1)).alias("score")
-        )
+        weighed = edges.drop("seed").join(worth, "instance", "left")
+        trusted = F.count_if(F.col("seed") | (F.col("worth") >= CONFIDENT))
+        said = F.sum(F.col("n") * F.coalesce("worth", F.lit(0.0))) / (F.sum("n") + 1)
+        patterns = weighed.groupBy("pattern").agg(trusted.alias("trusted"), said.alias("score"))
+        patterns = patterns.where(F.col("trusted") >= MIN_SEEDS).select("pattern", "score")
         doubt = F.exp(F.sum(F.log1p(-F.least("score", F.lit(0.999)))))
-        after = edges.join(patterns, "pattern").groupBy("instance").agg(
-            F.max("seed").alias("seed"), (1 - doubt).alias("said")
-        )
-        worth = stage(
-            after.select("instance", F.when(F.col("seed"), 1.0).otherwise(F.col("said")).alias("worth"), "seed"),
-            "instances",
-        )
+        spoken = edges.drop("seed").join(patterns, "pattern").groupBy("instance").agg((1 - doubt).alias("worth"))
+        others = spoken.join(seeds, "instance", "left_anti").withColumn("seed", F.lit(False))
+        own = seeds.select("instance", F.lit(1.0).alias("worth"), F.lit(True).alias("seed"))
+        worth = stage(own.union(others), "instances")
     return worth.where(~F.col("seed") & (F.col("worth") >= CONFIDENT)).select("instance")
 
 
@@ -228,7 +233,7 @@ def mask(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     names = docs.columns
     # Longer than any column of ``docs``, so neither name clashes.
     key, extra = (n + "_" * max(map(len, names)) for n in ("key", "more"))
-    keyed = docs.withColumn(key, F.xxhash64(text, F.length(text)))
+    keyed = docs.withColumn(key, _text_key(text))
     joined = keyed.join(more.withColumnsRenamed({"text_key": key, "more": extra}), key, "left").drop(key)
     place = names.index(text_col)
 

@@ -28,7 +28,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -591,7 +591,8 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     table = counts.where("kind = 2").select("key", "n").toArrow()
     pairs = np.zeros(SYMBOLS * SYMBOLS, np.int64)
     pairs[table.column(0).to_numpy()] = table.column(1).to_numpy()
-    codes = spark.sparkContext.broadcast(Codes(pairs.reshape(SYMBOLS, SYMBOLS)))
+    # With the class's own code, as executors need no copy of this package.
+    codes = spark.sparkContext.broadcast(cloudpickle.dumps(Codes(pairs.reshape(SYMBOLS, SYMBOLS))))
     words = counts.where("kind = 0").select(F.col("key").alias("word"), F.col("n").alias("c"))
     # At most HEAD_SHARE words can have such a share.
     often = max(2, tokens // HEAD_SHARE)
@@ -611,7 +612,7 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         names, often_n = head.value
         logs = np.log10(often_n + 1.0)
-        for keys, texts, scores in _blocks(batches, parts, codes.value):
+        for keys, texts, scores in _blocks(batches, parts, cloudpickle.loads(codes.value)):
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             numbers = _Numbers()
             word = np.fromiter(map(numbers.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))

@@ -20,6 +20,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,7 +171,8 @@ def score(docs: DataFrame, models: list[Linear], names: Sequence[str], text_col:
 
     An extra column of such a name is replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    # With the class's own code, as executors need no copy of this package.
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(models))
     added = [f"p_{n}" for n in names]
     docs = docs.drop(*added)
     kept = docs.columns
@@ -178,9 +180,10 @@ def score(docs: DataFrame, models: list[Linear], names: Sequence[str], text_col:
     features = "features" + "_" * max(map(len, kept), default=0)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chain = cloudpickle.loads(shared.value)
         for batch in batches:
             rows = _rows_of(batch.column(features))
-            chances = chain_chances(shared.value, rows) * (rows.counts > 0)[:, None]
+            chances = chain_chances(chain, rows) * (rows.counts > 0)[:, None]
             own = [batch.column(c) for c in kept] + [pa.array(chances[:, k]) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(own, [*kept, *added])
 

@@ -14,8 +14,9 @@ ORACLE_SQL = None
 
 def _apart(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text`` and a struct ``others``, so that no other column's name can clash."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    return docs.select("doc_id", "text", F.struct(*[_column(c) for c in others]).alias("others"))
+    others = [_column(c) for c in docs.columns if c not in ("doc_id", "text")]
+    # A struct without fields cannot be written.
+    return docs.select("doc_id", "text", F.struct(*(others or [F.lit(None).cast("int").alias("none")])).alias("others"))
 
 
 def _restored(apart: DataFrame, docs: DataFrame) -> DataFrame:

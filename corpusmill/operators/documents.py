@@ -91,7 +91,7 @@ def min_chars_filter(df: DataFrame, min_chars: int = DEFAULT_MIN_CHARS, text: st
 def require_documents(df: DataFrame) -> DataFrame:
     """The same documents, or an error when there is none."""
     if df.isEmpty():
-        raise EmptyDatasetError("no valid documents found")
+        raise EmptyDatasetError("every document was filtered out, or there were none")
     return df
 
 
@@ -114,5 +114,5 @@ def split_last(df: DataFrame, order: str, group: list[str] | None = None) -> Dat
 def require_split(df: DataFrame) -> DataFrame:
     """At least two documents are needed to hold one back."""
     if len(df.take(2)) < 2:
-        raise ValueError("a train/validation split requires at least two valid documents")
+        raise ValueError("two documents are needed to set one apart for validation")
     return df

@@ -21,8 +21,8 @@ def weighted_perplexity(scores: DataFrame) -> DataFrame:
         F.coalesce(F.sum("items"), F.lit(0)).alias("items"),
         F.count_if(F.col("loss").isNull()).alias("missing"),
     )
-    no_loss = F.raise_error(F.lit("a batch has no loss")).cast("double")
-    no_items = F.raise_error(F.lit("cannot evaluate an empty dataset")).cast("double")
+    no_loss = F.raise_error(F.lit("the loss of a batch is NULL")).cast("double")
+    no_items = F.raise_error(F.lit("there are no items to average a loss over")).cast("double")
     loss = (
         F.when(F.col("missing") > 0, no_loss)
         .when(F.col("items") == 0, no_items)

@@ -31,7 +31,7 @@ def pack_blocks(
     that fill a block are done; only those at document borders are brought together.
     """
     if sequence_length <= 0 or vocab_size <= 0:
-        raise ValueError("sequence_length and vocab_size must be positive")
+        raise ValueError("blocks need a length and a vocabulary above 0")
     n = sequence_length
     docs = token_docs.select(
         F.col(doc_id).cast("bigint").alias("doc"),
@@ -66,7 +66,7 @@ def pack_blocks(
 def require_blocks(blocks: DataFrame) -> DataFrame:
     """The same blocks, or an error when the stream was too short for one."""
     if blocks.isEmpty():
-        raise ValueError("token stream does not contain a complete training block")
+        raise ValueError("the ids of all documents do not fill one block")
     return blocks
 
 

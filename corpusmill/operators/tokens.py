@@ -62,7 +62,7 @@ def token_counts(df: DataFrame, group: list[str] | None = None, ids: str = "ids"
 def vocab_range_check(df: DataFrame, vocab_size: int, ids: str = "ids") -> DataFrame:
     """Documents that hold an id outside the vocabulary, with the first such id."""
     if vocab_size <= 0:
-        raise ValueError("vocab_size must be positive")
+        raise ValueError(f"a vocabulary needs entries, got vocab_size={vocab_size}")
     outside = F.filter(F.col(ids), lambda x: x.isNull() | (x < 0) | (x >= vocab_size))
     return df.where(F.size(outside) > 0).withColumn("bad_id", outside[0])
 
@@ -70,7 +70,7 @@ def vocab_range_check(df: DataFrame, vocab_size: int, ids: str = "ids") -> DataF
 def checked_ids(ids: Column, vocab_size: int) -> Column:
     """The ids themselves; an id outside the vocabulary is an error."""
     inside = F.forall(ids, lambda x: (x >= 0) & (x < vocab_size))
-    problem = F.raise_error(F.lit(f"token is outside vocabulary size {vocab_size}"))
+    problem = F.raise_error(F.lit(f"an id is not below {vocab_size}, the number of entries"))
     return F.when(inside, ids).otherwise(problem.cast("array<int>"))
 
 

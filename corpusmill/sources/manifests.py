@@ -71,8 +71,8 @@ def checked_json(payload: Column) -> Column:
     line = payload.cast("string")
     parsed = F.try_parse_json(line)
     text = F.schema_of_variant(F.try_variant_get(parsed, "$.text", "variant"))
-    broken = F.raise_error(F.lit("shard contains invalid JSONL")).cast("binary")
-    missing = F.raise_error(F.lit("record is missing a string text field")).cast("binary")
+    broken = F.raise_error(F.lit("a line of the shard cannot be read as JSON")).cast("binary")
+    missing = F.raise_error(F.lit("a line of the shard has no text that is a string")).cast("binary")
     return (
         F.when(parsed.isNull(), broken)
         .when(F.coalesce(text, F.lit("")) == "STRING", payload)

@@ -165,11 +165,11 @@ def test_manifest_of_compressed_json_lines(spark, folder):
 @pytest.mark.parametrize(
     "body,message",
     [
-        (b'{"text":"a"}\n\n', "invalid JSONL"),
-        (b"not json\n", "invalid JSONL"),
-        (b'{"text": 1}\n', "missing a string text field"),
-        (b"[1]\n", "missing a string text field"),
-        (b'{"other": "a"}\n', "missing a string text field"),
+        (b'{"text":"a"}\n\n', "cannot be read as JSON"),
+        (b"not json\n", "cannot be read as JSON"),
+        (b'{"text": 1}\n', "has no text that is a string"),
+        (b"[1]\n", "has no text that is a string"),
+        (b'{"other": "a"}\n', "has no text that is a string"),
     ],
 )
 def test_manifest_records_must_hold_text(spark, folder, body, message):

@@ -128,11 +128,11 @@ def test_pack_checks_and_examples(spark, folder):
     assert [r["object_key"] for r in written] == ["train-000001.bin", "train-000002.bin"]
     stored = b"".join(open(f"{folder}/{r['object_key']}", "rb").read() for r in written)
     assert np.frombuffer(stored, "<u4").tolist() == [0, 1, 2, 2, 3, 4]
-    with pytest.raises(Exception, match="outside vocabulary size 4"):
+    with pytest.raises(Exception, match="an id is not below 4"):
         packing.pack_blocks(df, 2, 4).collect()
-    with pytest.raises(ValueError, match="complete training block"):
+    with pytest.raises(ValueError, match="do not fill one block"):
         packing.require_blocks(packing.pack_blocks(df, 9, 8))
-    with pytest.raises(ValueError, match="must be positive"):
+    with pytest.raises(ValueError, match="above 0|needs entries"):
         packing.pack_blocks(df, 0, 8)
 
 
@@ -148,9 +148,9 @@ def test_perplexity_is_weighted_by_tokens(spark):
     row = evaluation.weighted_perplexity(scores).first()
     assert row["loss"] == pytest.approx(1.75)
     assert row["perplexity"] == pytest.approx(np.exp(1.75))
-    with pytest.raises(PySparkException, match="empty dataset"):
+    with pytest.raises(PySparkException, match="no items"):
         evaluation.weighted_perplexity(scores.limit(0)).collect()
-    with pytest.raises(PySparkException, match="no loss"):
+    with pytest.raises(PySparkException, match="loss of a batch"):
         nulls = spark.createDataFrame([(None, 1)], "loss double, items int")
         evaluation.weighted_perplexity(nulls).collect()
 

@@ -114,5 +114,5 @@ def split_last(df: DataFrame, order: str, group: list[str] | None = None) -> Dat
 def require_split(df: DataFrame) -> DataFrame:
     """At least two documents are needed to hold one back."""
     if len(df.take(2)) < 2:
-        raise ValueError("two documents are needed to set one apart for validation")
+        raise ValueError("at least two documents are needed to set one apart for validation")
     return df

@@ -40,6 +40,8 @@ RECORDS = (
 )
 COUNTS = "file_index int, file string, start bigint, stop bigint, records bigint, bytes bigint, cut boolean"
 
+_GZIP = b"\x1f\x8b"
+
 _EMPTY = pa.schema(
     [
         ("file_index", pa.int32()), ("file", pa.string()), ("record_index", pa.int64()), ("end_offset", pa.int64()),
@@ -206,9 +208,13 @@ def _opened(files, path: str, compressed: bool):
     """A plain file that can be entered anywhere, or a stream of what a compressed one holds."""
     if not compressed:
         return files.open_input_file(path)
-    if path.endswith(".gz"):
-        # A compressed file may consist of several members.
-        return gzip.GzipFile(fileobj=files.open_input_file(path))
+    raw = files.open_input_file(path)
+    # Told by its first bytes, as a file may be named anything; it may consist of several members.
+    gzipped = raw.read(2) == _GZIP
+    raw.seek(0)
+    if gzipped:
+        return gzip.GzipFile(fileobj=raw)
+    raw.close()
     return files.open_input_stream(path, compression="detect")
 
 

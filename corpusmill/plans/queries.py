@@ -297,7 +297,8 @@ def _stored_manifest(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, s
         F.to_json(F.struct("doc_id", "text")).alias("value"),
     )
     (
-        placed.repartition(files, "n")
+        # By number and not by its hash, which sends several files to one task.
+        placed.repartitionById(files, F.col("n").cast("int"))
         .sortWithinPartitions("n", "doc_id")
         .select("n", "value")
         .write.partitionBy("n")

@@ -1,7 +1,7 @@
 """Learning a byte-pair vocabulary from word counts.
 
 Each symbol is one character whose code stands for its id, so a word is a short
-string and a merge is a string replacement, all of it inside Spark.
+string; a merge is made on many words at once, as an array of symbols, inside Spark tasks.
 
 One Spark job settles many merges. The driver guesses the next ones from the exact
 pair counts and the most frequent words; the job replays them on all words and
@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.functions.symbols import PAIR_BITS, Symbols, code_points, summed
 from corpusmill.operators.tokens import Vocabulary, pretoken_counts
 from corpusmill.plans.staging import stage
 from corpusmill.schemas import DEFAULT_SPECIAL_TOKENS
@@ -30,6 +31,9 @@ _GUESS_WORDS = 200_000
 _KEPT_PAIRS = 200_000
 # Replacements after which the rewritten words are written out again.
 _REPLACEMENTS_KEPT = 24
+# Words that a task merges at once, and counts it holds before it hands them on.
+_WORDS_AT_ONCE = 10_000
+_HELD_COUNTS = 1_000_000
 _FIRST_CODE = 0x20
 _SURROGATES = 0xD800
 
@@ -57,8 +61,8 @@ def train_bpe_from_counts(
     """Learn from a staged table ``word, n`` of distinct words."""
     specials = tuple(special_tokens or DEFAULT_SPECIAL_TOKENS)
     # At most as many rows as there are characters in Unicode.
-    letters = counts.select(F.explode(F.split("word", "")).alias("c")).distinct().collect()
-    alphabet = sorted({row["c"] for row in letters})
+    letters = counts.select("word").mapInArrow(_letters, "c int").distinct().collect()
+    alphabet = sorted(chr(row["c"]) for row in letters)
     tokens = list(dict.fromkeys([*specials, *alphabet]))
     number = {token: i for i, token in enumerate(tokens)}
     coded = "".join(_code(number[c]) for c in alphabet)
@@ -101,7 +105,7 @@ def train_bpe_from_counts(
         pending += done
         sample.take_back(len(guesses) - settled)
         if len(pending) > _REPLACEMENTS_KEPT and len(tokens) < vocab_size:
-            base = _stage_words(base.select(_replaced(F.col("w"), pending).alias("w"), "n"))
+            base = _stage_words(_rewritten(base, pending))
             pending = []
         if settled < len(guesses) and ranking.floor:
             ranking, fresh = _count_pairs(base, pending), True
@@ -150,12 +154,6 @@ def _symbol(code: str) -> int:
     return (point if point < _SURROGATES else point - 0x800) - _FIRST_CODE
 
 
-def _replaced(word: Column, merges: list[Merge]) -> Column:
-    for left, right, new in merges:
-        word = F.replace(word, F.lit(_code(left) + _code(right)), F.lit(_code(new)))
-    return word
-
-
 def _stage_words(words: DataFrame) -> DataFrame:
     """Write the words that can still be merged, spread over at least all cores."""
     words = words.where(F.char_length("w") > 1)
@@ -191,22 +189,83 @@ class _Ranking:
                 self.counts.pop(pair, None)
 
 
-def _pairs(word: Column) -> Column:
-    symbols = F.split(word, "")
-    heads = F.slice(symbols, 1, F.size(symbols) - 1)
-    tails = F.slice(symbols, 2, F.size(symbols) - 1)
-    return F.zip_with(heads, tails, lambda left, right: F.concat(left, right))
+def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = np.empty(0, np.int32)
+    for batch in batches:
+        seen = np.union1d(seen, code_points(batch.column(0))[0])
+    yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32))], ["c"])
+
+
+def _numbers(merges: list[Merge]) -> list[Merge]:
+    """Merges of the symbols' codes."""
+    return [tuple(ord(_code(symbol)) for symbol in merge) for merge in merges]
+
+
+def _pair_names(keys: np.ndarray) -> list[str]:
+    low = (1 << PAIR_BITS) - 1
+    return [chr(k >> PAIR_BITS) + chr(k & low) for k in keys.tolist()]
+
+
+def _merged(batches: Iterator[pa.RecordBatch], merges: list[Merge]) -> Iterator[Symbols]:
+    """Words ``w, n`` after some merges, a bounded number of them at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _WORDS_AT_ONCE):
+            part = batch.slice(at, _WORDS_AT_ONCE)
+            words = Symbols(*code_points(part.column("w")), part.column("n").to_numpy())
+            for merge in merges:
+                words.merge(*merge)
+            yield words
+
+
+def _summed_rows(found: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task ``step, pair, n``, added up; handed on when they get many."""
+    held, size = [], 0
+
+    def rows() -> pa.RecordBatch:
+        empty = np.empty(0, np.int64)
+        keys, n = summed(np.concatenate([empty, *[k for k, _ in held]]), np.concatenate([empty, *[n for _, n in held]]))
+        held[:] = [(keys, n)]
+        steps, pairs = keys >> 2 * PAIR_BITS, keys & ((1 << 2 * PAIR_BITS) - 1)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(steps, pa.int64()), pa.array(_pair_names(pairs), pa.string()), pa.array(n, pa.int64())], ["step", "pair", "n"]
+        )
+
+    for step, keys, n in found:
+        held.append(((step << 2 * PAIR_BITS) | keys, n))
+        size += len(keys)
+        if size > _HELD_COUNTS:
+            batch = rows()
+            size = batch.num_rows
+            if size > _HELD_COUNTS // 2:
+                yield batch
+                held, size = [], 0
+    yield rows()
+
+
+def _rewritten(base: DataFrame, merges: list[Merge]) -> DataFrame:
+    """The words after some merges."""
+    steps = _numbers(merges)
+
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            times = batch.column("n")
+            at = 0
+            for words in _merged([batch], steps):
+                text = words.numbers[1:-1].astype("<u4").tobytes().decode("utf-32-le").split("\0")
+                yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()), times.slice(at, len(text))], ["w", "n"])
+                at += len(text)
+
+    return base.mapInArrow(rewrite, "w string, n bigint")
 
 
 def _count_pairs(base: DataFrame, pending: list[Merge]) -> _Ranking:
     """Exact counts of the most frequent pairs; the floor is what an unlisted pair may have."""
-    words = base.select(_replaced(F.col("w"), pending).alias("w"), "n")
-    counted = (
-        words.where(F.char_length("w") > 1)
-        .select(F.explode(_pairs(F.col("w"))).alias("pair"), "n")
-        .groupBy("pair")
-        .agg(F.sum("n").alias("n"))
-    )
+    before = _numbers(pending)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _summed_rows((0, *summed(*words.pairs())) for words in _merged(batches, before))
+
+    counted = base.mapInArrow(count, "step bigint, pair string, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "pair").limit(_KEPT_PAIRS).collect()
     floor = top[-1]["n"] if len(top) == _KEPT_PAIRS else 0
     return _Ranking({row["pair"]: row["n"] for row in top}, floor)
@@ -244,70 +303,41 @@ class _Sample:
     """The most frequent words, merged ahead of what is settled."""
 
     def __init__(self, words: list[str], times: list[int]) -> None:
-        self._words, self._times = words, times
-        self._steps: list[list[tuple[int, str]]] = []
-        # Words that hold a pair, or held it once.
-        self._holders: defaultdict[str, set[int]] = defaultdict(set)
-        for i, word in enumerate(words):
-            for left, right in zip(word, word[1:]):
-                self._holders[left + right].add(i)
-
-    def merge(self, pair: str, new: str) -> defaultdict[str, int]:
-        change: defaultdict[str, int] = defaultdict(int)
-        before = []
-        for i in self._holders[pair]:
-            word = self._words[i]
-            if pair in word:
-                after = word.replace(pair, new)
-                _add_pairs(change, word, -self._times[i])
-                _add_pairs(change, after, self._times[i])
-                for left, right in zip(after, after[1:]):
-                    if new in (left, right):
-                        self._holders[left + right].add(i)
-                before.append((i, word))
-                self._words[i] = after
-        self._steps.append(before)
-        return change
+        self._words = Symbols(*code_points(pa.array(words, pa.string())), np.array(times, np.int64))
+        self._mark()
 
-    def take_back(self, steps: int) -> None:
-        """Undo the last merges."""
-        for _ in range(steps):
-            for i, word in self._steps.pop():
-                self._words[i] = word
+    def _mark(self) -> None:
+        # Merges make new arrays, so the old ones stay as they are.
+        self._settled, self._ahead = (self._words.numbers, self._words.times), []
 
+    def merge(self, pair: str, new: str) -> dict[str, int]:
+        merge = (ord(pair[0]), ord(pair[1]), ord(new))
+        self._ahead.append(merge)
+        keys, n = self._words.changes(*merge)
+        return dict(zip(_pair_names(keys), n.tolist()))
 
-def _add_pairs(change: defaultdict[str, int], word: str, times: int) -> None:
-    for left, right in zip(word, word[1:]):
-        change[left + right] += times
+    def take_back(self, steps: int) -> None:
+        """Undo the last merges; the others are settled."""
+        if steps:
+            again = self._ahead[: len(self._ahead) - steps]
+            self._words.numbers, self._words.times = self._settled
+            for merge in again:
+                self._words.merge(*merge)
+        self._mark()
 
 
 def _replay(base: DataFrame, pending: list[Merge], guesses: list[Merge]) -> list[dict[str, int]]:
     """How each guessed merge, made after those before it, changes the pair counts."""
-    before = [(_code(left) + _code(right), _code(new)) for left, right, new in pending]
-    steps = [(_code(left) + _code(right), _code(new)) for left, right, new in guesses]
+    before, steps = _numbers(pending), _numbers(guesses)
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        changes: list[defaultdict[str, int]] = [defaultdict(int) for _ in steps]
-        for batch in batches:
-            for word, times in zip(batch.column("w").to_pylist(), batch.column("n").to_pylist()):
-                for old, new in before:
-                    word = word.replace(old, new)
-                for (old, new), change in zip(steps, changes):
-                    if old in word:
-                        after = word.replace(old, new)
-                        _add_pairs(change, word, -times)
-                        _add_pairs(change, after, times)
-                        word = after
-        rows = [(i, p, n) for i, change in enumerate(changes) for p, n in change.items() if n]
-        columns = list(zip(*rows)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())],
-            names=["step", "pair", "n"],
+        return _summed_rows(
+            (step, *words.changes(*merge)) for words in _merged(batches, before) for step, merge in enumerate(steps)
         )
 
     # Each task returns its changes added up, a few rows per guess.
     changed = (
-        base.mapInArrow(follow, "step int, pair string, n bigint")
+        base.mapInArrow(follow, "step bigint, pair string, n bigint")
         .groupBy("step", "pair")
         .agg(F.sum("n").alias("n"))
         .where("n <> 0")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import bin_completion, fm_index, pii, queries, simhash, toxicity
-from corpusmill.plans.staging import stage
+from corpusmill.plans.staging import broadcast_if_small, stage
 
 #: SQL cannot express trained models and token ids; the tests use brute force instead.
 ORACLE_SQL = None
@@ -50,8 +50,15 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     groups = simhash.near_groups(numbered, "row", "text").select("component", F.col("id").alias("row"))
     order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")
     least = groups.join(numbered.select("row", "doc_id"), "row").groupBy("component").agg(F.min(order).alias("least"))
-    kept = stage(least.select("least.row"), "kept")
-    return _restored(numbered.join(kept, "row", "left_semi"), docs)
+    kept = least.select(F.col("least.row").alias("row"))
+    # Those that go are few; told by number alone, so that the texts need not be shuffled.
+    gone = numbered.select("row").join(kept, "row", "left_anti")
+    return _restored(_without(numbered, gone, "gone"), docs)
+
+
+def _without(numbered: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """The rows whose number is not in ``gone``, which is broadcast while it is counted to be small."""
+    return numbered.join(broadcast_if_small(stage(gone, name)), "row", "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +67,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     texts = numbered.select(F.col("row").alias("doc_id"), "text")
     hits = fm_index.benchmark_hits(texts, queries.read(spark, sf_dir, "benchmark"))
     bad = hits.where(fm_index.contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("id").alias("row"))
-    return _restored(numbered.join(stage(bad, "contaminated"), "row", "left_anti"), docs)
+    return _restored(_without(numbered, bad, "contaminated"), docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ in the queries about quotas and cursors only; all others work on every document.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,7 +33,7 @@ from corpusmill.schemas import SOURCE_TYPES, STATES
 from corpusmill.sources import shards as shard_files
 from corpusmill.sources import tokens as token_files
 from corpusmill.sources.datasets import read_texts, text_payload
-from corpusmill.sources.lines import scan_lines
+from corpusmill.sources.lines import scan_files
 from corpusmill.sources.manifests import manifest_records
 from corpusmill.sources.packed import read_packed, store_packed
 from corpusmill.sources.ranges import read_lines
@@ -231,13 +232,15 @@ def line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_path(spark, "objects")
     edges = borders(spark, sf_dir)
     name = F.format_string("%s/shard-%06d.txt", "source_id", "shard_sequence")
-    stage(
+    written = stage(
         shard_files.write_shards(
             tagged(spark, sf_dir, edges), F.col("payload"), name, root, shard_files.task_count(edges)
         ),
         "written",
     )
-    lines = scan_lines(spark, f"{root}/*/*")
+    # A plain path, as names of sources are not escaped like those of a URI.
+    path = F.concat(F.lit(re.sub(r"^file:/+", "/", root) + "/"), F.col("object_key"))
+    lines = scan_files(written.select(path.alias("file"), F.col("stored_size_bytes").alias("length")))
     pattern = r"([^/]+)/shard-(\d+)\.txt$"
     return lines.select(
         F.regexp_extract("file", pattern, 1).alias("source_id"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from corpusmill.functions.text import without_line_end
 from corpusmill.operators.prefix import totals_before
 from corpusmill.plans.staging import broadcast_if_small, stage
+from corpusmill.sources.ranges import SPLIT_BYTES, Range, lines_of
 
+_HANDED_BYTES = 4 << 20
 _MARK = b"\xef\xbb\xbf"
 _COMPRESSED = r"\.(gz|bz2|zst|zstd|deflate|lz4|snappy)$"
 
@@ -69,6 +72,66 @@ def scan_lines(
     )
 
 
+def scan_files(listed: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The lines of plain files ``file, length``, as :func:`scan_lines` gives them.
+
+    For very many files whose names and sizes are known: nothing is listed, a file is opened
+    once, and a task reads many of them. Only files longer than ``split_bytes`` are read in
+    several ranges, whose lines are counted first. A mark alone in a file is a line.
+    """
+    spark = listed.sparkSession
+    compressed = F.raise_error(F.concat(F.lit("a compressed file has no line offsets: "), F.col("file"))).cast("string")
+    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(split_bytes).cast("bigint")))
+    spans = listed.where("length > 0").select(
+        F.when(F.lower("file").rlike(_COMPRESSED), compressed).otherwise(F.col("file")).alias("file"),
+        F.col("length").cast("bigint").alias("length"),
+        starts.alias("start"),
+    )
+    total = listed.agg(F.sum("length")).first()[0] or 0
+    tasks = max(math.ceil(total / split_bytes), spark.sparkContext.defaultParallelism)
+    long = spans.where(F.col("length") > split_bytes).withColumn("before", F.lit(0).cast("bigint"))
+    if not long.isEmpty():
+        counted = long.repartition(tasks).mapInArrow(_range_reader(split_bytes, True), "file string, start bigint, records bigint")
+        # A window over the ranges of one file: a few rows per gigabyte.
+        before = totals_before(stage(counted, "range_counts"), ["file"], "start", ["records"], levels=1)
+        before = broadcast_if_small(stage(before.select("file", "start", "__before_records"), "range_offsets"))
+        spans = spans.join(before, ["file", "start"], "left")
+        spans = spans.withColumn("before", F.coalesce("__before_records", F.lit(0).cast("bigint")))
+    else:
+        spans = spans.withColumn("before", F.lit(0).cast("bigint"))
+    return (
+        spans.select("file", "length", "start", "before")
+        .repartition(tasks)
+        .mapInArrow(_range_reader(split_bytes, False), "file string, record_index bigint, end_offset bigint, payload binary")
+    )
+
+
+def _range_reader(split_bytes: int, counts: bool):
+    """Reads ranges ``file, length, start, before``: their lines, or how many there are."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for file, length, start, before in zip(*(c.to_pylist() for c in batch.columns)):
+                stop = min(start + split_bytes, length)
+                lines = lines_of(Range(0, file, start, stop, start == 0, file_records=before), False, None, None, counts)
+                if counts:
+                    n = sum(found.num_rows for found in lines)
+                    yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([start]), pa.array([n])], ["file", "start", "records"])
+                    continue
+                for found in lines:
+                    held.append(found.select(["file", "record_index", "end_offset", "payload"]))
+                    size += found.nbytes
+                    # Lines of small files are handed on together.
+                    if size > _HANDED_BYTES:
+                        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                        held, size = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    return read
+
+
 def require_one_file(spark: SparkSession, paths: str | list[str]) -> None:
     """The paths must name one plain file."""
     require_plain_file(list(enumerate(spark.read.text(paths).inputFiles())), paths)

@@ -10,6 +10,8 @@ from corpusmill.plans.staging import broadcast_if_small, stage
 
 #: SQL cannot express trained models and token ids; the tests use brute force instead.
 ORACLE_SQL = None
+#: A Python worker keeps them beside what the other stages need.
+CACHED_PIECES = 1 << 17
 
 
 def _apart(docs: DataFrame) -> DataFrame:
@@ -80,7 +82,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents, placed in sequences of 2,048 tokens."""
-    return queries.packed(docs)
+    return queries.packed(docs, CACHED_PIECES)
 
 
 STAGES = [

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from types import ModuleType
 
+import pyarrow as pa
+
 _NAME = "corpusmill_worker_cache"
 
 
@@ -17,3 +21,12 @@ def worker_cache(name: str) -> dict:
     """
     held = sys.modules.setdefault(_NAME, ModuleType(_NAME))
     return held.__dict__.setdefault(name, {})
+
+
+def give_back() -> None:
+    """Return free memory to the system, which a Python process else keeps for its next tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.slices import slices
 from corpusmill.llm.encoding import PieceEncoder
 from corpusmill.llm.token_files import batches_of
 from corpusmill.plans.staging import stage
@@ -39,19 +40,20 @@ NUMBERED_ROWS = 100_000  # pieces of one length that are numbered together, abou
 
 def token_pieces(
     docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_col: str, text_col: str,
-    added_tokens: bool = False,
+    added_tokens: bool = False, cached_pieces: int | None = None,
 ) -> DataFrame:
     """``id, piece, start, length, ids_crc32`` of every piece of every document.
 
     With ``added_tokens`` the vocabulary's added tokens are recognised, else plain text.
+    Fewer ``cached_pieces`` than the encoder's own number take less memory and more time.
     """
     schema = "id long, piece int, start long, length long, ids_crc32 long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder.of(vocabulary, added_tokens)
+        encoder = PieceEncoder.of(vocabulary, added_tokens, cached_pieces)
         rows = (
             (key, text)
-            for batch in batches
+            for batch in slices(batches)
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
         )
         for group in batches_of(rows):

@@ -19,7 +19,7 @@ import numpy as np
 
 from corpusmill.functions.worker import worker_cache
 
-CACHED_PIECES = 1 << 19  # pieces a worker keeps; the cache starts anew beyond them
+CACHED_PIECES = 1 << 19  # pieces a worker keeps if not told otherwise; the cache starts anew beyond them
 JOINED = 4096  # new pieces encoded in one call
 CACHED_IDS = 1 << 22  # ids a worker keeps
 
@@ -46,10 +46,11 @@ def _plain(text: str) -> bool:
 class PieceEncoder:
     """Encodes texts to flat id arrays; a Python worker keeps the last one for its next tasks."""
 
-    def __init__(self, path: str, added_tokens: bool = False) -> None:
+    def __init__(self, path: str, added_tokens: bool = False, cached_pieces: int | None = None) -> None:
         """``added_tokens``: recognise the vocabulary's added tokens, the library's default."""
         from tokenizers import Tokenizer
 
+        self._most = cached_pieces or CACHED_PIECES
         self._path, self._plain_reading, self._library = path, not added_tokens, None
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
@@ -74,12 +75,12 @@ class PieceEncoder:
         self._clear()
 
     @classmethod
-    def of(cls, path: str, added_tokens: bool = False) -> PieceEncoder:
-        kept = worker_cache("encoder")
-        if (path, added_tokens) not in kept:
+    def of(cls, path: str, added_tokens: bool = False, cached_pieces: int | None = None) -> PieceEncoder:
+        kept, key = worker_cache("encoder"), (path, added_tokens, cached_pieces)
+        if key not in kept:
             kept.clear()
-            kept[path, added_tokens] = cls(path, added_tokens)
-        return kept[path, added_tokens]
+            kept[key] = cls(*key)
+        return kept[key]
 
     @property
     def _whole(self):
@@ -118,7 +119,7 @@ class PieceEncoder:
         return self._encode(texts)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        if self._known.size > CACHED_PIECES or self._used > CACHED_IDS:
+        if self._known.size > self._most or self._used > CACHED_IDS:
             self._clear()
         number = self._known.__getitem__
         cut = [pieces_of(t) for t in texts]

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.slices import slices
 from corpusmill.plans.staging import stage
 
 # The patterns of the base kinds, in the order of their spans.
@@ -156,7 +157,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                  ("patterns", pa.list_(pa.string())), ("kind", pa.string())]
             )
         )
-        for batch in batches:
+        for batch in slices(batches):
             spans, tokens = [], []
             for value in batch.column("text"):
                 text = value.as_py()
@@ -238,7 +239,7 @@ def mask(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     place = names.index(text_col)
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text, more in zip(batch.column(text_col), batch.column(extra).to_pylist(), strict=True):
                 value = text.as_py()

@@ -112,9 +112,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, cached_pieces: int | None = None) -> DataFrame:
     """Places of all token pieces of ``docs`` in sequences of 2,048 tokens."""
-    pieces = bin_completion.token_pieces(docs, vocabulary(), 0, 2048, "doc_id", "text", added_tokens=True)
+    pieces = bin_completion.token_pieces(
+        docs, vocabulary(), 0, 2048, "doc_id", "text", added_tokens=True, cached_pieces=cached_pieces
+    )
     return bin_completion.pack(pieces, 2048).withColumnRenamed("id", "doc_id")
 
 

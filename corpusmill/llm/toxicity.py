@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.functions.slices import slices
+
 SAMPLE_ROWS = 12_000
 FEATURES = 1 << 18
 FOLDS = 4
@@ -181,7 +183,7 @@ def score(docs: DataFrame, models: list[Linear], names: Sequence[str], text_col:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = cloudpickle.loads(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             rows = _rows_of(batch.column(features))
             chances = chain_chances(chain, rows) * (rows.counts > 0)[:, None]
             own = [batch.column(c) for c in kept] + [pa.array(chances[:, k]) for k in range(len(names))]

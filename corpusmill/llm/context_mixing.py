@@ -7,8 +7,8 @@ code's own node, the earlier symbols, and the current word so far, whose counts
 gathered from all training documents. For each context that occurs there, the symbols that
 follow it are counted in a partitioned table, which grows with the corpus; contexts are not
 added together (earlier symbols are the key themselves, words have 55 bits of a hash). Texts
-are read in blocks: a block asks the table for its contexts and turns the answers into the
-counts of its own decisions. The predictions are combined in the logistic domain
+are read in blocks: some blocks ask the table for their contexts together, and each turns the
+answers into the counts of its own decisions. The predictions are combined in the logistic domain
 by weights that a gate selects, the gate being how often the word context was seen. The
 weights start equal for every document and are refined while it is read, so a score
 depends on the document and the corpus counts only.
@@ -43,7 +43,8 @@ TABLE_TOKENS = 1 << 22  # tokens of the corpus for each part of the table of a c
 ORDERS = (5, "word")  # contexts: earlier symbols, or the current word so far
 GATE_COUNTS = (1, 4, 16, 64, 512)  # sightings of the word context at which the next gate starts
 BATCH_BYTES = 1 << 19
-BLOCK_BYTES = 1 << 20  # texts that ask the table together
+BLOCK_BYTES = 1 << 20  # texts that are scored together
+ASKING_BLOCKS = 8  # blocks of a task that ask the table together, as they share most contexts
 WORDS_HELD = 1 << 19  # distinct words a task counts before it hands them on
 HEAD_SHARE = 1 << 17  # words with at least this share of all tokens are looked up in the task
 RATE = 0.7
@@ -489,17 +490,27 @@ def _pair_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
 
 
 def _questions(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Blocks of texts, and the contexts that each asks of every part."""
-    task = TaskContext.get().partitionId()
-    for number, (keys, texts) in enumerate(_batches(batches, BLOCK_BYTES)):
-        block = (task << 32) + number
-        joined = [b" ".join(t) for t in texts]
-        yield _route(block % parts, TEXTS, block, _squeezed(pickle.dumps((keys, b"\n".join(joined)))))
-        for kind, pairs in enumerate(_Batch(joined).contexts()):
-            asked = _heads(np.unique(pairs))
+    """Groups of blocks of texts, and the contexts that each group asks of every part."""
+    none = np.zeros(0, np.uint64)
+    group = TaskContext.get().partitionId() << 32
+    held, heads = [], [none for _ in ORDERS]
+
+    def handed() -> Iterator[pa.RecordBatch]:
+        yield _route(group % parts, TEXTS, group, pickle.dumps(held))
+        for kind, asked in enumerate(heads):
             part = _parts_of(asked, parts)
             for p in np.unique(part).tolist():
-                yield _route(kind * parts + p, ASKED, block, _packed(np.diff(asked[part == p], prepend=np.uint64(0))))
+                yield _route(kind * parts + p, ASKED, group, _packed(np.diff(asked[part == p], prepend=np.uint64(0))))
+
+    for keys, texts in _batches(batches, BLOCK_BYTES):
+        joined = [b" ".join(t) for t in texts]
+        held.append(_squeezed(pickle.dumps((keys, b"\n".join(joined)))))
+        heads = [np.union1d(old, _heads(np.unique(x))) for old, x in zip(heads, _Batch(joined).contexts(), strict=True)]
+        if len(held) == ASKING_BLOCKS:
+            yield from handed()
+            group, held, heads = group + 1, [], [none for _ in ORDERS]
+    if held:
+        yield from handed()
 
 
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -520,50 +531,68 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             asked = np.cumsum(_unpacked(keys, np.uint64), dtype=np.uint64)
             low = np.searchsorted(table[0], asked, "left")
             sizes = np.searchsorted(table[0], asked, "right") - low
-            place = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-            followed = pickle.dumps((_packed(table[1][place].astype(np.uint16)), _packed(table[2][place])))
-            yield _route(part, ASKED, block, _packed(sizes.astype(np.uint16)), followed)
-
-
-def _answered(asked: list[np.ndarray], answers: dict[int, tuple[bytes, bytes]], parts: int) -> list[tuple]:
-    """The answers of all parts in the order of the contexts a block asked for."""
-    out = []
-    for kind, contexts in enumerate(asked):
-        part, found = _parts_of(contexts, parts), []
-        for p in np.unique(part).tolist():
-            sizes = _unpacked(answers[kind * parts + p][0], np.uint16).astype(np.int64)
-            symbols, times = pickle.loads(answers[kind * parts + p][1])
-            symbols, times = _unpacked(symbols, np.uint16), _unpacked(times, np.int64)
-            found.append((np.flatnonzero(part == p), sizes, symbols.astype(np.int32), times))
-        place, sizes, symbols, times = map(np.concatenate, zip(*found, strict=True))
-        order = np.argsort(np.repeat(place, sizes), kind="stable")
-        out.append((sizes[np.argsort(place)], symbols[order], times[order]))
-    return out
+            place = _runs(low, sizes)
+            followed = [_packed(x) for x in (sizes.astype(np.uint16), table[1][place].astype(np.uint16), table[2][place])]
+            yield _route(part, ASKED, block, keys, pickle.dumps(followed))
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs that start there and are so long, one run after another."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+
+
+class _Answers:
+    """What the parts answered to a group of blocks."""
+
+    def __init__(self, answers: dict[int, tuple[bytes, bytes]], parts: int) -> None:
+        self._kinds = []
+        for kind in range(len(ORDERS)):
+            found = []
+            for p in range(kind * parts, (kind + 1) * parts):
+                if p in answers:
+                    keys, (sizes, symbols, times) = answers[p][0], pickle.loads(answers[p][1])
+                    found.append((np.cumsum(_unpacked(keys, np.uint64), dtype=np.uint64),
+                                  _unpacked(sizes, np.uint16), _unpacked(symbols, np.uint16), _unpacked(times, np.int64)))
+            contexts, sizes, symbols, times = map(np.concatenate, zip(*found, strict=True))
+            starts, order = np.cumsum(sizes, dtype=np.int64) - sizes, np.argsort(contexts)
+            self._kinds.append((contexts[order], starts[order], sizes[order], symbols, times))
+
+    def of(self, asked: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The answers in the order of the contexts that one block asks for."""
+        out = []
+        for own, (contexts, starts, sizes, symbols, times) in zip(asked, self._kinds, strict=True):
+            at = np.searchsorted(contexts, own)
+            many = sizes[at].astype(np.int64)
+            place = _runs(starts[at], many)
+            out.append((many, symbols[place].astype(np.int32), times[place]))
+        return out
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], parts: int, codes: Codes) -> Iterator[tuple[list, list, np.ndarray]]:
-    """Keys, texts and scores of each block; its text row comes before its answers."""
-
-    def scored(held: bytes, answers: dict) -> tuple[list, list, np.ndarray]:
-        keys, joined = pickle.loads(_restored(held))
-        joined = joined.split(b"\n")  # white space inside a text is single spaces
-        texts = [t.split() for t in joined]
-        own = Contexts(joined, codes)
-        counts = own.learn(_answered(own.asked, answers, parts))
-        return keys, texts, Mixer(codes, counts).log10(joined, own)
+    """Keys, texts and scores of each block; the text row of a group comes before its answers."""
+
+    def scored(held: bytes, answers: dict) -> Iterator[tuple[list, list, np.ndarray]]:
+        answered = _Answers(answers, parts)
+        for block in pickle.loads(held):
+            keys, joined = pickle.loads(_restored(block))
+            joined = joined.split(b"\n")  # white space inside a text is single spaces
+            texts = [t.split() for t in joined]
+            own = Contexts(joined, codes)
+            counts = own.learn(answered.of(own.asked))
+            yield keys, texts, Mixer(codes, counts).log10(joined, own)
 
     at, held, answers = None, b"", {}
     for part, kind, block, keys, n in _rows_of(batches):
         if block != at:
             if at is not None:
-                yield scored(held, answers)
+                yield from scored(held, answers)
             at, answers = block, {}
         if kind == TEXTS:
             held = keys
         else:
             answers[part] = (keys, n)
     if at is not None:
-        yield scored(held, answers)
+        yield from scored(held, answers)
 
 
 def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

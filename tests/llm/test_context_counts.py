@@ -52,3 +52,25 @@ def test_table_grows_with_the_corpus(spark, monkeypatch):
         monkeypatch.setattr(context_mixing, name, value)
     two = {r["id"]: r["score"] for r in context_mixing.score(docs, "doc_id", "text").collect()}
     assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-3 for k in one)
+
+
+def test_blocks_of_a_group_ask_once(monkeypatch):
+    """Contexts that several blocks share are asked for, and so shuffled, once."""
+    import pyarrow as pa
+
+    class Task:
+        get = classmethod(lambda cls: cls())
+        partitionId = lambda self: 3
+
+    monkeypatch.setattr(context_mixing, "TaskContext", Task)
+    monkeypatch.setattr(context_mixing, "BLOCK_BYTES", 2000)
+    texts = ["the same words in every text of the batch " * 10] * 40
+    batch = pa.RecordBatch.from_pydict({"row": list(range(40)), "id": list(range(40)), "held_out": [False] * 40, "text": texts})
+    asked = [[], []]
+    for _, kind, block, keys, _ in context_mixing._rows_of(context_mixing._questions(iter([batch]), 4)):
+        if kind == context_mixing.ASKED:
+            asked[0].append(block)
+            asked[1] += np.cumsum(context_mixing._unpacked(keys, np.uint64), dtype=np.uint64).tolist()
+    groups = len(set(asked[0]))
+    known = [np.unique(x >> np.uint64(9)) for x in context_mixing._Batch([" ".join(t.split()).encode() for t in texts]).contexts()]
+    assert groups <= 2 and len(asked[1]) == groups * sum(map(len, known))

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from corpusmill.plans.staging import stage
 
@@ -45,6 +47,7 @@ GATE_COUNTS = (1, 4, 16, 64, 512)  # sightings of the word context at which the
 BATCH_BYTES = 1 << 19
 BLOCK_BYTES = 1 << 20  # texts that are scored together
 ASKING_BLOCKS = 8  # blocks of a task that ask the table together, as they share most contexts
+MIXED_TEXTS = 64  # texts that are mixed together, so that their arrays stay in the cache
 WORDS_HELD = 1 << 19  # distinct words a task counts before it hands them on
 HEAD_SHARE = 1 << 17  # words with at least this share of all tokens are looked up in the task
 RATE = 0.7
@@ -69,20 +72,30 @@ class Codes:
 
     def __init__(self, pairs: np.ndarray) -> None:
         """``pairs[a, b]``: how often symbol b follows symbol a."""
-        nodes, bits, sizes, chances = [], [], [], []
+        nodes, bits, sizes, chances, ranks, borders = [], [], [], [], [], []
         for a in range(SYMBOLS):
             weights = pairs[a].astype(np.float64) * SYMBOLS + 1
             first = len(chances)
             heap = [(w, s, s) for s, w in enumerate(weights)]
             heapq.heapify(heap)
             above, mass, number = {}, {s: w for s, w in enumerate(weights)}, SYMBOLS
+            below, leaves = [], [1] * SYMBOLS
             while len(heap) > 1:
                 (w0, _, low), (w1, _, high) = heapq.heappop(heap), heapq.heappop(heap)
                 above[low], above[high] = (number, 0), (number, 1)
                 mass[number] = w0 + w1
+                below.append((low, high))
+                leaves.append(leaves[low] + leaves[high])
                 chances.append(w1 / (w0 + w1))
                 heapq.heappush(heap, (w0 + w1, number, number))
                 number += 1
+            # Symbols from left to right below the code's nodes.
+            left = [0] * number
+            for at in range(number - 1, SYMBOLS - 1, -1):
+                low, high = below[at - SYMBOLS]
+                left[low], left[high] = left[at], left[at] + leaves[low]
+            ranks += left[:SYMBOLS]
+            borders += [left[high] for _, high in below]
             for s in range(SYMBOLS):
                 path = []
                 at = s
@@ -99,6 +112,8 @@ class Codes:
         chance = np.array(chances)
         self.bits, self.steps = np.array(bits, np.uint8), at * np.uint32(0x9E3779B1)
         self.stretched = np.log(chance / (1 - chance)).astype(np.float32)[at]
+        # Per pair its symbol's rank from the left; per decision the first rank behind a one.
+        self.ranks, self.borders = np.array(ranks, np.int16), np.array(borders, np.int16)[at]
 
 
 class _Batch:
@@ -171,10 +186,26 @@ class Contexts(_Batch):
     def __init__(self, texts: list[bytes], codes: Codes) -> None:
         super().__init__(texts)
         self._codes = codes
-        self.pairs, self._which = zip(*[np.unique(x, return_inverse=True) for x in self.contexts()], strict=True)
+        self._pair_of, self._context_of, self._slots = [], [], []
         #: The distinct contexts of each kind, rising.
-        self.asked = [_heads(x) for x in self.pairs]
-        self._first, self._slots = [], []
+        self.asked = []
+        for pairs in self.contexts():
+            order = np.argsort(pairs)
+            pairs = pairs[order]
+            fresh = np.diff(pairs, prepend=~pairs[:1]) != 0
+            which = np.empty(len(pairs), np.int32)
+            which[order] = np.cumsum(fresh, dtype=np.int32) - 1
+            heads = pairs[fresh] >> np.uint64(SYMBOL_BITS)
+            begins = np.diff(heads, prepend=~heads[:1]) != 0
+            self.asked.append(heads[begins])
+            self._context_of.append(np.cumsum(begins) - 1)
+            pair = self.pair[order[fresh]]
+            self._pair_of.append(pair)
+            # A slot for each decision of each distinct pair of a context and a symbol.
+            sizes = codes.sizes[pair]
+            self._slots.append((np.cumsum(sizes, dtype=np.int32) - sizes)[which])
+        self.place = self.place.astype(np.int32)
+        del self.symbols, self.starts, self.before
 
     def learn(self, answers: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Counts (zero, one) of the decisions, from what followed each asked context.
@@ -182,35 +213,50 @@ class Contexts(_Batch):
         An answer has the number of symbols that followed each context, the symbols, and
         how often each did.
         """
-        codes, counts = self._codes, []
-        for pairs, which, asked, (sizes, symbols, times) in zip(self.pairs, self._which, self.asked, answers, strict=True):
-            context = np.searchsorted(asked, pairs >> np.uint64(SYMBOL_BITS))
-            pair = np.zeros(len(pairs), np.int32)
-            pair[which] = self.pair
-            before = np.zeros(len(asked), np.int32)
-            before[context] = pair // SYMBOLS
-            owner = np.repeat(np.arange(len(asked)), sizes)
-            path, decision, lengths = self._paths(owner, before[owner] * np.int32(SYMBOLS) + symbols)
-            known, at = np.unique(decision, return_inverse=True)
-            weight = np.repeat(times, lengths).astype(np.float64)
-            one = np.bincount(at, weight * codes.bits[path], len(known)).astype(np.int64)
-            both = np.bincount(at, weight, len(known)).astype(np.int64)
-            # The last place is for decisions that the corpus never made in this context.
-            counts.append((np.append(both - one, 0), np.append(one, 0)))
-            _, wanted, lengths = self._paths(context, pair)
-            slot = np.searchsorted(known, wanted)
-            if len(known):
-                slot[known[np.minimum(slot, len(known) - 1)] != wanted] = len(known)
-            self._slots.append(slot.astype(np.int32))
-            self._first.append((np.cumsum(lengths) - lengths)[which])
-        return counts
-
-    def _paths(self, context: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places on the paths of the pairs, context and node of each decision, decisions each."""
-        sizes = self._codes.sizes[pair]
-        path = np.repeat(self._codes.starts[pair] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-        decision = np.repeat(context.astype(np.uint64) << np.uint64(32), sizes) | self._codes.steps[path].astype(np.uint64)
-        return path, decision, sizes
+        return [self._learnt(*x) for x in zip(self._pair_of, self._context_of, answers, strict=True)]
+
+    def _learnt(self, pair: np.ndarray, context: np.ndarray, answer: tuple) -> tuple[np.ndarray, np.ndarray]:
+        codes, (sizes, symbols, times) = self._codes, answer
+        before = np.zeros(len(sizes), np.int32)
+        before[context] = pair // SYMBOLS
+        # The followers of a context from left to right in its code, and their running sums:
+        # those below a node are a run, which its border cuts into zeros and ones.
+        owner = np.repeat(np.arange(len(sizes)) << SYMBOL_BITS, sizes)
+        leaf = owner | codes.ranks[np.repeat(before, sizes) * np.int32(SYMBOLS) + symbols]
+        order = np.argsort(leaf)
+        leaf, upto = leaf[order], np.append(0, np.cumsum(times[order]))
+        left = codes.sizes[pair]
+        slot = np.cumsum(left, dtype=np.int32) - left
+        counts = np.zeros((2, int(left.sum())), np.int64)
+        ends = np.cumsum(sizes)
+        low, high = (ends - sizes)[context], ends[context]
+        base, own = context << SYMBOL_BITS, codes.ranks[pair]
+        path = codes.starts[pair]
+        go = np.flatnonzero(high > low)
+        while True:
+            base, own, low, high = base[go], own[go], low[go], high[go]
+            path, slot, left = path[go], slot[go], left[go]
+            # Where the symbol itself is all that followed, the rest of its path is known.
+            only = (high - low == 1) & (leaf[low] == base + own)
+            rest = left[only]
+            number = _runs(np.zeros(len(rest), np.int64), rest)
+            counts[codes.bits[np.repeat(path[only], rest) + number], np.repeat(slot[only], rest) + number] = np.repeat(
+                (upto[high] - upto[low])[only], rest
+            )
+            go = np.flatnonzero(~only)
+            if not len(go):
+                return counts[0], counts[1]
+            base, own, low, high = base[go], own[go], low[go], high[go]
+            path, slot, left = path[go], slot[go], left[go]
+            border = base + codes.borders[path]
+            middle = low + (leaf[low] < border)
+            many = np.flatnonzero(high - low > 1)
+            middle[many] = np.searchsorted(leaf, border[many])
+            counts[0, slot], counts[1, slot] = upto[middle] - upto[low], upto[high] - upto[middle]
+            one = codes.bits[path] == 1
+            low, high = np.where(one, middle, low), np.where(one, high, middle)
+            path, slot, left = path + 1, slot + 1, left - 1
+            go = np.flatnonzero((high > low) & (left > 0))
 
     def decisions(self, at: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Of the symbols ``at``: decisions each, their places on the paths, their slots."""
@@ -219,8 +265,13 @@ class Contexts(_Batch):
         number = np.arange(int(sizes.sum()), dtype=np.int32)
         number -= np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes, sizes)
         path = np.repeat(self._codes.starts[pair], sizes) + number
-        slots = [s.take(np.repeat(f[at], sizes) + number) for f, s in zip(self._first, self._slots, strict=True)]
-        return sizes, path, slots
+        return sizes, path, [np.repeat(s[at], sizes) + number for s in self._slots]
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """The distinct numbers, rising; sorting them is faster than the hashing of ``np.unique``."""
+    numbers = np.sort(numbers)
+    return numbers[np.diff(numbers, prepend=~numbers[:1]) != 0]
 
 
 def _heads(pairs: np.ndarray) -> np.ndarray:
@@ -305,12 +356,14 @@ class Mixer:
         gates = len(GATE_COUNTS) + 1
         doc = np.repeat(np.arange(len(texts), dtype=np.int32), own.lengths)
         edges = _schedule(int(own.lengths.max()))
-        block = np.searchsorted(edges, own.place, "right").astype(np.min_scalar_type(len(edges)))
+        block = np.searchsorted(edges, own.place, "right").astype(np.int32)
+        block += doc // np.int32(MIXED_TEXTS) * np.int32(len(edges) + 1)
+        block = block.astype(np.min_scalar_type(int(block.max())))
         order = np.argsort(block, kind="stable")
         weights = np.tile(np.array(FIRST_WEIGHTS, np.float32), (1, len(texts)))
         total = np.zeros(len(texts))
         begin = 0
-        # One block of every text at a time: the weights are refined between blocks.
+        # One block of some texts at a time: the weights are refined between blocks.
         for stop in np.cumsum(np.bincount(block)).tolist():
             if stop == begin:
                 continue
@@ -439,15 +492,15 @@ def _unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(_restored(data), np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
-# Rows on their way: counts of pairs (0) and questions of blocks (1) to a part, texts (2)
-# along with them; answers (1) and texts (2) to a block.
-ROUTE = "part int, kind int, block long, keys binary, n binary"
+# Rows on their way: counts of pairs (0) and questions (1) to a part, texts (2) to their own
+# group of blocks, which has a negative number; answers (1) to that group.
+ROUTE = "part long, kind int, block long, keys binary, n binary"
 COUNTS, ASKED, TEXTS = 0, 1, 2
 
 
 def _route(part: int, kind: int, block: int, keys: bytes, n: bytes = b"") -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([part], pa.int32()), pa.array([kind], pa.int32()), pa.array([block], pa.int64()),
+        [pa.array([part], pa.int64()), pa.array([kind], pa.int32()), pa.array([block], pa.int64()),
          pa.array([keys], pa.binary()), pa.array([n], pa.binary())],
         ["part", "kind", "block", "keys", "n"],
     )
@@ -492,11 +545,11 @@ def _pair_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
 def _questions(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """Groups of blocks of texts, and the contexts that each group asks of every part."""
     none = np.zeros(0, np.uint64)
-    group = TaskContext.get().partitionId() << 32
+    group = -1 - (TaskContext.get().partitionId() << 32)
     held, heads = [], [none for _ in ORDERS]
 
     def handed() -> Iterator[pa.RecordBatch]:
-        yield _route(group % parts, TEXTS, group, pickle.dumps(held))
+        yield _route(group, TEXTS, group, pickle.dumps(held))
         for kind, asked in enumerate(heads):
             part = _parts_of(asked, parts)
             for p in np.unique(part).tolist():
@@ -505,10 +558,11 @@ def _questions(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Rec
     for keys, texts in _batches(batches, BLOCK_BYTES):
         joined = [b" ".join(t) for t in texts]
         held.append(_squeezed(pickle.dumps((keys, b"\n".join(joined)))))
-        heads = [np.union1d(old, _heads(np.unique(x))) for old, x in zip(heads, _Batch(joined).contexts(), strict=True)]
+        own = [x >> np.uint64(SYMBOL_BITS) for x in _Batch(joined).contexts()]
+        heads = [_distinct(np.concatenate([old, _distinct(x)])) for old, x in zip(heads, own, strict=True)]
         if len(held) == ASKING_BLOCKS:
             yield from handed()
-            group, held, heads = group + 1, [], [none for _ in ORDERS]
+            group, held, heads = group - 1, [], [none for _ in ORDERS]
     if held:
         yield from handed()
 
@@ -521,9 +575,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, counts, table = part, [], None
         if kind == COUNTS:
             counts.append((np.cumsum(_unpacked(keys, np.uint64), dtype=np.uint64), _unpacked(n, np.int64)))
-        elif kind == TEXTS:
-            yield _route(-1, TEXTS, block, keys)
-        else:
+        elif kind == ASKED:
             if table is None:
                 none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
                 pairs, times = _summed(*map(np.concatenate, zip(none, *counts, strict=True)))
@@ -533,7 +585,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.searchsorted(table[0], asked, "right") - low
             place = _runs(low, sizes)
             followed = [_packed(x) for x in (sizes.astype(np.uint16), table[1][place].astype(np.uint16), table[2][place])]
-            yield _route(part, ASKED, block, keys, pickle.dumps(followed))
+            yield _route(part, ASKED, block, pickle.dumps(followed))
 
 
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -542,17 +594,15 @@ def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class _Answers:
-    """What the parts answered to a group of blocks."""
+    """What the parts answered to the contexts that a group of blocks asked for."""
 
-    def __init__(self, answers: dict[int, tuple[bytes, bytes]], parts: int) -> None:
+    def __init__(self, asked: list[np.ndarray], answers: dict[int, bytes], parts: int) -> None:
         self._kinds = []
-        for kind in range(len(ORDERS)):
-            found = []
-            for p in range(kind * parts, (kind + 1) * parts):
-                if p in answers:
-                    keys, (sizes, symbols, times) = answers[p][0], pickle.loads(answers[p][1])
-                    found.append((np.cumsum(_unpacked(keys, np.uint64), dtype=np.uint64),
-                                  _unpacked(sizes, np.uint16), _unpacked(symbols, np.uint16), _unpacked(times, np.int64)))
+        for kind, contexts in enumerate(asked):
+            part, found = _parts_of(contexts, parts), []
+            for p in np.unique(part).tolist():
+                sizes, symbols, times = pickle.loads(answers[kind * parts + p])
+                found.append((contexts[part == p], _unpacked(sizes, np.uint16), _unpacked(symbols, np.uint16), _unpacked(times, np.int64)))
             contexts, sizes, symbols, times = map(np.concatenate, zip(*found, strict=True))
             starts, order = np.cumsum(sizes, dtype=np.int64) - sizes, np.argsort(contexts)
             self._kinds.append((contexts[order], starts[order], sizes[order], symbols, times))
@@ -568,31 +618,19 @@ class _Answers:
         return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], parts: int, codes: Codes) -> Iterator[tuple[list, list, np.ndarray]]:
-    """Keys, texts and scores of each block; the text row of a group comes before its answers."""
-
-    def scored(held: bytes, answers: dict) -> Iterator[tuple[list, list, np.ndarray]]:
-        answered = _Answers(answers, parts)
-        for block in pickle.loads(held):
-            keys, joined = pickle.loads(_restored(block))
-            joined = joined.split(b"\n")  # white space inside a text is single spaces
-            texts = [t.split() for t in joined]
-            own = Contexts(joined, codes)
-            counts = own.learn(answered.of(own.asked))
-            yield keys, texts, Mixer(codes, counts).log10(joined, own)
-
-    at, held, answers = None, b"", {}
-    for part, kind, block, keys, n in _rows_of(batches):
-        if block != at:
-            if at is not None:
-                yield from scored(held, answers)
-            at, answers = block, {}
-        if kind == TEXTS:
-            held = keys
-        else:
-            answers[part] = (keys, n)
-    if at is not None:
-        yield from scored(held, answers)
+def _scored(held: bytes, answers: dict[int, bytes], parts: int, codes: Codes) -> Iterator[tuple[list, list, np.ndarray]]:
+    """Keys, texts and scores of each block of a group, from the answers of the parts."""
+    blocks = []
+    for block in pickle.loads(held):
+        keys, joined = pickle.loads(_restored(block))
+        joined = joined.split(b"\n")  # white space inside a text is single spaces
+        blocks.append((keys, joined, Contexts(joined, codes)))
+    # The same contexts in the same order as they were asked for, so answers need not repeat them.
+    asked = [_distinct(np.concatenate(x)) for x in zip(*[own.asked for _, _, own in blocks], strict=True)]
+    answered = _Answers(asked, answers, parts)
+    for keys, joined, own in blocks:
+        counts = own.learn(answered.of(own.asked))
+        yield keys, [t.split() for t in joined], Mixer(codes, counts).log10(joined, own)
 
 
 def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -631,17 +669,25 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     parts = max(8, tokens // TABLE_TOKENS)  # of the table of each kind of context
     learnt_pairs = learnt.mapInArrow(lambda b: _pair_counts(b, parts), ROUTE)
     questions = rows.mapInArrow(lambda b: _questions(b, parts), ROUTE)
-    # The texts travel with the questions of their block, so both are from one reading.
-    sent = learnt_pairs.union(questions).repartition(parts * len(ORDERS), "part")
-    found = sent.sortWithinPartitions("part", "kind").mapInArrow(_answers, ROUTE)
-    blocks = found.repartition("block").sortWithinPartitions("block", "part")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Texts and questions are from one reading. The texts are where their group is scored at
+    # once: both sides below read the same exchange, and only answers are shuffled again.
+    many = 2 * parts * len(ORDERS)
+    sent = learnt_pairs.union(questions).repartition(many, "part")
+    found = sent.sortWithinPartitions("part", "kind").mapInArrow(_answers, ROUTE).repartition(many, "block")
+
+    def read(key: tuple, own: pa.Table, answers: pa.Table) -> pa.Table:
+        if key[0].as_py() >= 0:  # what a part was asked
+            return pa.Table.from_batches([], shown)
+        held = own.column("keys")[0].as_py()
+        answered = dict(zip(answers.column("part").to_pylist(), answers.column("keys").to_pylist(), strict=True))
+        return pa.Table.from_batches(rated(_scored(held, answered, parts, cloudpickle.loads(codes.value))), shown)
+
+    def rated(blocks: Iterator[tuple[list, list, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
         names, often_n = head.value
         logs = np.log10(often_n + 1.0)
-        for keys, texts, scores in _blocks(batches, parts, cloudpickle.loads(codes.value)):
+        for keys, texts, scores in blocks:
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             numbers = _Numbers()
             word = np.fromiter(map(numbers.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
@@ -665,12 +711,13 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                  pa.array(sizes - np.bincount(doc[others], minlength=len(texts))),
                  pa.ListArray.from_arrays(ends, pa.array(hashes[left % distinct], pa.int64())),
                  pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))],
-                ["row", "id", "held_out", "n_tokens", "bytes", "score", "head_sum", "head_n", "rare", "rare_times"],
+                schema=shown,
             )
 
     shape = "row long, id long, held_out boolean, n_tokens long, bytes long, score double, head_sum double, head_n long"
     shape += ", rare array<long>, rare_times array<long>"
-    read_rows = stage(blocks.mapInArrow(read, shape), "scored")
+    shown = to_arrow_schema(StructType.fromDDL(shape))
+    read_rows = stage(sent.groupBy("part").cogroup(found.groupBy("block")).applyInArrow(read, shape), "scored")
     # Words of a small share, each once per text, meet the corpus counts.
     own_words = F.explode(F.arrays_zip("rare", "rare_times")).alias("own")
     rare = read_rows.select("row", own_words).select("row", F.col("own.rare").alias("word"), F.col("own.rare_times").alias("n"))

@@ -74,3 +74,37 @@ def test_blocks_of_a_group_ask_once(monkeypatch):
     groups = len(set(asked[0]))
     known = [np.unique(x >> np.uint64(9)) for x in context_mixing._Batch([" ".join(t.split()).encode() for t in texts]).contexts()]
     assert groups <= 2 and len(asked[1]) == groups * sum(map(len, known))
+
+
+def test_texts_and_contexts_travel_once(spark, monkeypatch):
+    """Answers repeat neither contexts nor texts, so less is shuffled than is asked."""
+    import pyarrow as pa
+
+    random = np.random.default_rng(6)
+    texts = ["".join(random.choice(list("abcdefgh "), 300)) for _ in range(50)]
+    batch = pa.RecordBatch.from_pydict({"row": list(range(50)), "id": list(range(50)), "held_out": [False] * 50, "text": texts})
+
+    class Task:
+        get = classmethod(lambda cls: cls())
+        partitionId = lambda self: 2
+
+    monkeypatch.setattr(context_mixing, "TaskContext", Task)
+    learnt = list(context_mixing._pair_counts(iter([batch.select(["text"])]), 4))
+    asked = list(context_mixing._questions(iter([batch]), 4))
+    rows = sorted(context_mixing._rows_of(learnt + asked), key=lambda r: r[:2])
+    found = list(context_mixing._rows_of(context_mixing._answers(context_mixing._route(*r) for r in rows)))
+    assert {r[1] for r in found} == {context_mixing.ASKED}
+    size = lambda rows: sum(len(r[3]) + len(r[4]) for r in rows if r[1] == context_mixing.ASKED)
+    assert size(found) < size(rows)
+    # They still are the counts of every context, in the order of the question.
+    codes = context_mixing.Codes(np.ones((257, 257), np.int64))
+    held = next(r[3] for r in rows if r[1] == context_mixing.TEXTS)
+    scores = [s for _, _, block in context_mixing._scored(held, {r[0]: r[3] for r in found}, 4, codes) for s in block]
+    own = context_mixing.Contexts([" ".join(t.split()).encode() for t in texts], codes)
+    answers = []
+    for pairs in context_mixing._Batch([" ".join(t.split()).encode() for t in texts]).contexts():
+        known, n = np.unique(pairs, return_counts=True)
+        heads, sizes = np.unique(known >> np.uint64(9), return_counts=True)
+        answers.append((sizes, (known & np.uint64(511)).astype(np.int32), n))
+    plain = context_mixing.Mixer(codes, own.learn(answers)).log10([" ".join(t.split()).encode() for t in texts], own)
+    assert np.allclose(scores, plain)

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from corpusmill.functions.worker import give_back
 from corpusmill.plans.staging import stage
 
 END = 256
@@ -127,25 +128,32 @@ class _Batch:
         inside = np.ones(total, bool)
         inside[ends - 1] = False
         self.symbols[inside] = np.frombuffer(b"".join(texts), np.uint8)
-        self.starts = np.repeat(ends - self.lengths, self.lengths)
-        self.place = np.arange(total) - self.starts
+        self.place = np.arange(total) - np.repeat(ends - self.lengths, self.lengths)
         self.before = _shifted(self.symbols, self.place, 1)
         self.pair = self.before * np.int32(SYMBOLS) + self.symbols
 
     def contexts(self) -> list[np.ndarray]:
         """Per kind of context, each symbol's context and the symbol in the low bits."""
         out = []
+        symbols = self.symbols.astype(np.uint64)
         for order in ORDERS:
             if order == "word":
-                key = _word_prefix(self.symbols, self.before, self.starts)
+                key = _word_prefix(self.symbols, self.before)
                 key = (key * np.uint64(SYMBOLS) + self.before.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
                 key = (key ^ (key >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
                 key >>= np.uint64(SYMBOL_BITS)
             else:
-                key = np.zeros(len(self.symbols), np.uint64)  # 257**5 is below 2**55
+                # 257**5 is below 2**55. The texts stand apart, with end symbols before each.
+                apart = np.full(len(symbols) + order * len(self.lengths), END, np.uint64)
+                place = np.arange(len(symbols)) + np.repeat(np.arange(1, len(self.lengths) + 1) * order, self.lengths)
+                apart[place] = symbols
+                key = np.zeros(len(apart) - order, np.uint64)
                 for k in range(1, order + 1):
-                    key = key * np.uint64(SYMBOLS) + _shifted(self.symbols, self.place, k).astype(np.uint64)
-            out.append(key << np.uint64(SYMBOL_BITS) | self.symbols.astype(np.uint64))
+                    key *= np.uint64(SYMBOLS)
+                    key += apart[order - k : len(apart) - k]
+                key = key[place - order]
+            key <<= np.uint64(SYMBOL_BITS)
+            out.append(key | symbols)
         return out
 
 
@@ -156,7 +164,7 @@ class Symbols(_Batch):
         super().__init__(texts)
         self._codes = codes
         self.hashes = [
-            _word_hash(self.symbols, self.before, self.starts)
+            _word_hash(self.symbols, self.before)
             if order == "word"
             else _order_hash(self.symbols, self.place, order)
             for order in ORDERS
@@ -198,14 +206,13 @@ class Contexts(_Batch):
             heads = pairs[fresh] >> np.uint64(SYMBOL_BITS)
             begins = np.diff(heads, prepend=~heads[:1]) != 0
             self.asked.append(heads[begins])
-            self._context_of.append(np.cumsum(begins) - 1)
+            self._context_of.append(np.cumsum(begins, dtype=np.int32) - 1)
             pair = self.pair[order[fresh]]
             self._pair_of.append(pair)
             # A slot for each decision of each distinct pair of a context and a symbol.
             sizes = codes.sizes[pair]
             self._slots.append((np.cumsum(sizes, dtype=np.int32) - sizes)[which])
-        self.place = self.place.astype(np.int32)
-        del self.symbols, self.starts, self.before
+        del self.symbols, self.before, self.place  # a group holds several of these
 
     def learn(self, answers: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Counts (zero, one) of the decisions, from what followed each asked context.
@@ -230,7 +237,7 @@ class Contexts(_Batch):
         counts = np.zeros((2, int(left.sum())), np.int64)
         ends = np.cumsum(sizes)
         low, high = (ends - sizes)[context], ends[context]
-        base, own = context << SYMBOL_BITS, codes.ranks[pair]
+        base, own = context.astype(np.int64) << SYMBOL_BITS, codes.ranks[pair]
         path = codes.starts[pair]
         go = np.flatnonzero(high > low)
         while True:
@@ -262,10 +269,12 @@ class Contexts(_Batch):
         """Of the symbols ``at``: decisions each, their places on the paths, their slots."""
         pair = self.pair[at]
         sizes = self._codes.sizes[pair]
-        number = np.arange(int(sizes.sum()), dtype=np.int32)
-        number -= np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes, sizes)
-        path = np.repeat(self._codes.starts[pair], sizes) + number
-        return sizes, path, [np.repeat(s[at], sizes) + number for s in self._slots]
+        upto = np.cumsum(sizes, dtype=np.intp)
+        before, number = upto - sizes, np.arange(int(upto[-1]) if len(upto) else 0)
+        path, *slots = [np.repeat(x - before, sizes) for x in (self._codes.starts[pair], *[s[at] for s in self._slots])]
+        for x in (path, *slots):
+            x += number
+        return sizes, path, slots
 
 
 def _distinct(numbers: np.ndarray) -> np.ndarray:
@@ -296,22 +305,23 @@ def _order_hash(symbols: np.ndarray, place: np.ndarray, order: int) -> np.ndarra
     return out * np.uint32(0xC2B2AE35)
 
 
-def _word_hash(symbols: np.ndarray, before: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _word_hash(symbols: np.ndarray, before: np.ndarray) -> np.ndarray:
     """A hash of the symbols from the start of the word up to the one before."""
-    inner = _word_prefix(symbols, before, starts)
+    inner = _word_prefix(symbols, before)
     return (inner * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
 
 
-def _word_prefix(symbols: np.ndarray, before: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _word_prefix(symbols: np.ndarray, before: np.ndarray) -> np.ndarray:
     """The symbols from the start of the word up to the one before, as a polynomial."""
     base, inverse = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
     n = len(symbols)
     powers, undone = _powers(base, n), _powers(inverse, n)
-    upto = np.concatenate([[np.uint64(0)], np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * powers)])
+    upto = np.zeros(n + 1, np.uint64)
+    np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * powers, out=upto[1:])
     opens = (before == 32) | (before == END)
-    opens[starts == np.arange(n)] = True
-    first = np.maximum.accumulate(np.where(opens, np.arange(n), 0))
-    return (upto[np.arange(n)] - upto[first]) * undone[first]
+    first = np.flatnonzero(opens)  # the first symbol of a text has an end before it
+    out = upto[:n] - np.repeat(upto[first], np.diff(first, append=n))
+    return out * np.repeat(undone[first], np.diff(first, append=n))
 
 
 _power_tables: dict[int, np.ndarray] = {}
@@ -356,7 +366,8 @@ class Mixer:
         gates = len(GATE_COUNTS) + 1
         doc = np.repeat(np.arange(len(texts), dtype=np.int32), own.lengths)
         edges = _schedule(int(own.lengths.max()))
-        block = np.searchsorted(edges, own.place, "right").astype(np.int32)
+        place = np.arange(len(doc)) - np.repeat(np.cumsum(own.lengths) - own.lengths, own.lengths)
+        block = np.searchsorted(edges, place, "right").astype(np.int32)
         block += doc // np.int32(MIXED_TEXTS) * np.int32(len(edges) + 1)
         block = block.astype(np.min_scalar_type(int(block.max())))
         order = np.argsort(block, kind="stable")
@@ -374,10 +385,12 @@ class Mixer:
             whose = doc[at]
             low = int(whose[0])
             docs = int(whose[-1]) - low + 1
-            cells = np.repeat((whose - np.int32(low)) * np.int32(gates), sizes)
+            cells = np.repeat((whose - np.int32(low)).astype(np.intp) * gates, sizes)
             cells += (inputs[-1].view(np.uint32) & np.uint32(7)).view(np.int32)
             span, top = slice(low * gates, (low + docs) * gates), docs * gates
-            mixed = sum(w[span].take(cells) * x for w, x in zip(weights, inputs, strict=True))
+            mixed = weights[0][span].take(cells) * inputs[0]
+            for w, x in zip(weights[1:], inputs[1:], strict=True):
+                mixed += w[span].take(cells) * x
             np.clip(mixed, -14, 14, out=mixed)
             error = bit - 1 / (1 + np.exp(-mixed))
             logs = np.log(1 - np.abs(error))
@@ -540,16 +553,16 @@ def _pair_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
             if sum(len(x) for x, _ in held) > PAIRS_HELD:
                 yield from handed()
     yield from handed()
+    give_back()
 
 
 def _questions(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """Groups of blocks of texts, and the contexts that each group asks of every part."""
     none = np.zeros(0, np.uint64)
     group = -1 - (TaskContext.get().partitionId() << 32)
-    held, heads = [], [none for _ in ORDERS]
+    blocks, heads = 0, [none for _ in ORDERS]
 
     def handed() -> Iterator[pa.RecordBatch]:
-        yield _route(group, TEXTS, group, pickle.dumps(held))
         for kind, asked in enumerate(heads):
             part = _parts_of(asked, parts)
             for p in np.unique(part).tolist():
@@ -557,14 +570,16 @@ def _questions(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Rec
 
     for keys, texts in _batches(batches, BLOCK_BYTES):
         joined = [b" ".join(t) for t in texts]
-        held.append(_squeezed(pickle.dumps((keys, b"\n".join(joined)))))
+        yield _route(group, TEXTS, group, _squeezed(pickle.dumps((keys, b"\n".join(joined)))))
+        blocks += 1
         own = [x >> np.uint64(SYMBOL_BITS) for x in _Batch(joined).contexts()]
         heads = [_distinct(np.concatenate([old, _distinct(x)])) for old, x in zip(heads, own, strict=True)]
-        if len(held) == ASKING_BLOCKS:
+        if blocks == ASKING_BLOCKS:
             yield from handed()
-            group, held, heads = group - 1, [], [none for _ in ORDERS]
-    if held:
+            group, blocks, heads = group - 1, 0, [none for _ in ORDERS]
+    if blocks:
         yield from handed()
+    give_back()
 
 
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -586,6 +601,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             place = _runs(low, sizes)
             followed = [_packed(x) for x in (sizes.astype(np.uint16), table[1][place].astype(np.uint16), table[2][place])]
             yield _route(part, ASKED, block, pickle.dumps(followed))
+    give_back()
 
 
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -618,10 +634,10 @@ class _Answers:
         return out
 
 
-def _scored(held: bytes, answers: dict[int, bytes], parts: int, codes: Codes) -> Iterator[tuple[list, list, np.ndarray]]:
+def _scored(held: list[bytes], answers: dict[int, bytes], parts: int, codes: Codes) -> Iterator[tuple[list, list, np.ndarray]]:
     """Keys, texts and scores of each block of a group, from the answers of the parts."""
     blocks = []
-    for block in pickle.loads(held):
+    for block in held:
         keys, joined = pickle.loads(_restored(block))
         joined = joined.split(b"\n")  # white space inside a text is single spaces
         blocks.append((keys, joined, Contexts(joined, codes)))
@@ -675,12 +691,17 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     sent = learnt_pairs.union(questions).repartition(many, "part")
     found = sent.sortWithinPartitions("part", "kind").mapInArrow(_answers, ROUTE).repartition(many, "block")
 
+    # Every column is kept, as the exchange is only read twice if both sides ask the same of it.
+    texts = sent.withColumn("keys", F.when(F.col("part") < 0, F.col("keys"))).withColumn("n", F.when(F.col("part") < 0, F.col("n")))
+
     def read(key: tuple, own: pa.Table, answers: pa.Table) -> pa.Table:
         if key[0].as_py() >= 0:  # what a part was asked
             return pa.Table.from_batches([], shown)
-        held = own.column("keys")[0].as_py()
+        held = own.column("keys").to_pylist()
         answered = dict(zip(answers.column("part").to_pylist(), answers.column("keys").to_pylist(), strict=True))
-        return pa.Table.from_batches(rated(_scored(held, answered, parts, cloudpickle.loads(codes.value))), shown)
+        out = pa.Table.from_batches(rated(_scored(held, answered, parts, cloudpickle.loads(codes.value))), shown)
+        give_back()
+        return out
 
     def rated(blocks: Iterator[tuple[list, list, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
@@ -717,7 +738,7 @@ def score(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     shape = "row long, id long, held_out boolean, n_tokens long, bytes long, score double, head_sum double, head_n long"
     shape += ", rare array<long>, rare_times array<long>"
     shown = to_arrow_schema(StructType.fromDDL(shape))
-    read_rows = stage(sent.groupBy("part").cogroup(found.groupBy("block")).applyInArrow(read, shape), "scored")
+    read_rows = stage(texts.groupBy("part").cogroup(found.groupBy("block")).applyInArrow(read, shape), "scored")
     # Words of a small share, each once per text, meet the corpus counts.
     own_words = F.explode(F.arrays_zip("rare", "rare_times")).alias("own")
     rare = read_rows.select("row", own_words).select("row", F.col("own.rare").alias("word"), F.col("own.rare_times").alias("n"))

@@ -98,7 +98,7 @@ def test_texts_and_contexts_travel_once(spark, monkeypatch):
     assert size(found) < size(rows)
     # They still are the counts of every context, in the order of the question.
     codes = context_mixing.Codes(np.ones((257, 257), np.int64))
-    held = next(r[3] for r in rows if r[1] == context_mixing.TEXTS)
+    held = [r[3] for r in rows if r[1] == context_mixing.TEXTS]
     scores = [s for _, _, block in context_mixing._scored(held, {r[0]: r[3] for r in found}, 4, codes) for s in block]
     own = context_mixing.Contexts([" ".join(t.split()).encode() for t in texts], codes)
     answers = []

@@ -47,10 +47,10 @@ ORDERS = (5, "word")  # contexts: earlier symbols, or the current word so far
 GATE_COUNTS = (1, 4, 16, 64, 512)  # sightings of the word context at which the next gate starts
 BATCH_BYTES = 1 << 19
 BLOCK_BYTES = 1 << 20  # texts that are scored together
-ASKING_BLOCKS = 8  # blocks of a task that ask the table together, as they share most contexts
-MIXED_TEXTS = 64  # texts that are mixed together, so that their arrays stay in the cache
+ASKING_BLOCKS = 6  # blocks of a task that ask the table together, as they share most contexts
+MIXED_TEXTS = 16  # texts that are mixed together, so that their arrays stay in the cache
 WORDS_HELD = 1 << 19  # distinct words a task counts before it hands them on
-HEAD_SHARE = 1 << 17  # words with at least this share of all tokens are looked up in the task
+HEAD_SHARE = 1 << 20  # words with at least this share of all tokens are looked up in the task
 RATE = 0.7
 # Where the weights start: a column per gate; rows for the node and each hashed context.
 FIRST_WEIGHTS = (

@@ -108,3 +108,41 @@ def test_texts_and_contexts_travel_once(spark, monkeypatch):
         answers.append((sizes, (known & np.uint64(511)).astype(np.int32), n))
     plain = context_mixing.Mixer(codes, own.learn(answers)).log10([" ".join(t.split()).encode() for t in texts], own)
     assert np.allclose(scores, plain)
+
+
+def test_contexts_are_counted_by_word():
+    """Counts taken from distinct words are those of every symbol, at the borders of texts as well."""
+    random = np.random.default_rng(7)
+    texts = ["".join(random.choice(list("abé "), k % 40)) for k in range(120)] + ["", "a", "a a", "a"]
+    texts = [b" ".join(t.encode().split()) for t in texts]
+    for some in (texts, texts[-1:], texts[-4:-3]):
+        batch = context_mixing._Batch(some)
+        for pairs, (known, n), asked in zip(batch.contexts(), batch.counted(), batch.asks(), strict=True):
+            expected, times = np.unique(pairs, return_counts=True)
+            assert known.tolist() == expected.tolist() and n.tolist() == times.tolist()
+            assert asked.tolist() == np.unique(expected >> np.uint64(9)).tolist()
+
+
+def test_a_group_of_blocks_learns_once(monkeypatch):
+    """Contexts that several blocks share are learnt once, not once in each block."""
+    import pyarrow as pa
+
+    class Task:
+        get = classmethod(lambda cls: cls())
+        partitionId = lambda self: 1
+
+    monkeypatch.setattr(context_mixing, "TaskContext", Task)
+    monkeypatch.setattr(context_mixing, "BLOCK_BYTES", 2000)
+    texts = ["words that all of the texts have " * 10 + str(k) for k in range(30)]
+    batch = pa.RecordBatch.from_pydict({"row": list(range(30)), "id": list(range(30)), "held_out": [False] * 30, "text": texts})
+    learnt = list(context_mixing._pair_counts(iter([batch.select(["text"])]), 4))
+    rows = sorted(context_mixing._rows_of(learnt + list(context_mixing._questions(iter([batch]), 4))), key=lambda r: r[:2])
+    found = list(context_mixing._rows_of(context_mixing._answers(context_mixing._route(*r) for r in rows)))
+    calls, learn = [], context_mixing.Contexts.learn
+    monkeypatch.setattr(context_mixing.Contexts, "learn", lambda own, answers: calls.append(own) or learn(own, answers))
+    codes = context_mixing.Codes(np.ones((257, 257), np.int64))
+    for group in {r[2] for r in rows if r[1] == context_mixing.TEXTS}:
+        blocks = [r[3] for r in rows if r[1] == context_mixing.TEXTS and r[2] == group]
+        calls.clear()
+        list(context_mixing._scored(blocks, {r[0]: r[3] for r in found if r[2] == group}, 4, codes))
+        assert len(blocks) > 1 and len(calls) == 1
